@@ -51,8 +51,8 @@ def prefix_scan(
 
     ``df[bucket]`` must be non-decreasing along ``order_key`` inside a group and
     ``order_key`` should be unique inside a group. Adds ``_idx`` (1-based
-    position), ``_n`` (rows in the group), ``<c>_cum`` for every ``c`` in
-    ``sums`` and, with ``neighbours``, ``<c>_cum_prev`` / ``<c>_cum_next`` (the
+    position), ``_n`` (rows in the group), ``<c>_cum`` and ``<c>_total`` for
+    every ``c`` in ``sums`` and, with ``neighbours``, ``<c>_cum_prev`` / ``<c>_cum_next`` (the
     running total at the previous / next row, NULL at the ends).
     """
     parts = list(partition_by)
@@ -86,6 +86,7 @@ def prefix_scan(
     for c in sums:
         off = F.coalesce(F.sum(f"_bs_{c}").over(before), F.lit(0))
         cols.append(off.alias(f"_oc_{c}"))
+        cols.append(F.sum(f"_bs_{c}").over(whole).alias(f"{c}_total"))
         if neighbours:
             cols.append((off + F.col(f"_bs_{c}") + F.lead(f"_bf_{c}").over(ws)).alias(f"_nf_{c}"))
     summary = summary.select(*cols)
@@ -114,4 +115,5 @@ def global_rank(df: DataFrame, partition_by: Sequence[str], order_key: Column,
                 bucket: Column) -> DataFrame:
     """1-based row number by ``order_key`` within ``partition_by`` (adds ``_idx``, ``_n``)."""
     tmp = df.withColumn("_bk", bucket).withColumn("_one", F.lit(1))
-    return prefix_scan(tmp, partition_by, "_bk", order_key, ["_one"]).drop("_bk", "_one", "_one_cum")
+    return prefix_scan(tmp, partition_by, "_bk", order_key, ["_one"]).drop(
+        "_bk", "_one", "_one_cum", "_one_total")
