@@ -107,11 +107,39 @@ def _gram_of(words: Column, n: int):
     return lambda i: F.array_join(F.slice(words, i, n), " ")
 
 
-def ngram_col(words: Column, n_min: int = 1, n_max: int = 3) -> Column:
-    """All word n-grams (n_min..n_max) of an array, space-joined, in order."""
+def _ngrams_of(words: Column, n_min: int, n_max: int) -> Column:
     parts = []
     for n in range(n_min, n_max + 1):
         size = F.size(words)
         grams = F.transform(F.sequence(F.lit(1), size - n + 1), _gram_of(words, n))
         parts.append(F.when(size >= n, grams).otherwise(F.array().cast("array<string>")))
     return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
+def ngram_col(words: Column, n_min: int = 1, n_max: int = 3) -> Column:
+    """All word n-grams (n_min..n_max) of an array, space-joined, in order.
+
+    ``words`` is bound once as a lambda variable: referencing an inlined
+    expression inside the per-element lambdas would re-evaluate the whole
+    tokenisation for every n-gram.
+    """
+    return F.flatten(F.transform(F.array(words), lambda w: _ngrams_of(w, n_min, n_max)))
+
+
+def _runs_of(s: Column) -> Column:
+    n = F.size(s)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (i <= n) & ((i == 1) | (F.element_at(s, i) != F.try_element_at(s, i - 1))))
+    # bind ``starts`` once (see ngram_col) before indexing into it per element
+    return F.flatten(F.transform(F.array(starts), lambda st: F.transform(
+        st, lambda x, j: F.struct(F.element_at(s, x).alias("term"),
+                                  (F.coalesce(F.try_element_at(st, j + 2), n + 1) - x).cast("long").alias("tf")))))
+
+
+def term_count_col(terms: Column) -> Column:
+    """ARRAY<STRUCT<term, tf>>: distinct terms of one document with their counts.
+
+    Sorts the document's own terms and counts runs, inside the row: no
+    aggregation operator and no shuffle is needed for per-document counts.
+    """
+    return F.flatten(F.transform(F.array(F.sort_array(terms)), lambda s: _runs_of(s)))

@@ -14,10 +14,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screensift.functions.prefix import global_rank, quantile_bucket
+from screensift.functions import text as tx
 from screensift.operators import text as tt
 
 # Largest vocabulary we sort in one partition and broadcast.
@@ -54,9 +56,14 @@ def words(records: DataFrame, opts: TfidfOptions, lemmas: DataFrame | None = Non
 
 
 def term_counts(word_df: DataFrame, opts: TfidfOptions = TfidfOptions()) -> DataFrame:
-    """(doc_id, term, tf) raw counts of every n-gram in each document."""
-    grams = tt.ngrams(word_df, opts.ngram_min, opts.ngram_max)
-    return grams.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(doc_id, term, tf) raw counts of every n-gram in each document.
+
+    Counted inside each document row (sort + run lengths), so this step is
+    narrow: no aggregate, no shuffle, and its output keeps the input's doc_id
+    partitioning.
+    """
+    grams = tx.ngram_col(F.col("words"), opts.ngram_min, opts.ngram_max)
+    return word_df.select("doc_id", F.inline_outer(tx.term_count_col(grams))).filter(F.col("term").isNotNull())
 
 
 def doc_freq(tc: DataFrame) -> DataFrame:
@@ -103,17 +110,23 @@ class TfidfResult:
     matrix: DataFrame          # doc_id, term_idx, value
     n_features: Column         # scalar subquery: vocabulary size
     docs: DataFrame            # doc_id of every corpus row (empty documents included)
+    counts: DataFrame | None = None  # persisted (doc_id, term, tf); release with unpersist()
+
+    def unpersist(self) -> None:
+        if self.counts is not None:
+            self.counts.unpersist()
 
 
 def tfidf(records: DataFrame, opts: TfidfOptions = TfidfOptions(), lemmas: DataFrame | None = None) -> TfidfResult:
     """Whole chain with one vocabulary for the corpus given (labelled + unlabelled)."""
     corpus = cluster_by_doc(records)
-    tc = term_counts(words(corpus, opts, lemmas), opts)
+    # used by both the vocabulary fit and the transform: computed once
+    tc = term_counts(words(corpus, opts, lemmas), opts).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = corpus.select(F.count(F.lit(1))).scalar()
     vocab = fit_vocabulary(tc, n_docs, opts)
     bounded = opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY
     matrix = transform(tc, vocab, bounded)
-    return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"))
+    return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"), tc)
 
 
 def with_part(labelled: DataFrame, unlabelled: DataFrame) -> DataFrame:

@@ -16,3 +16,26 @@ def top_terms_per_document(spark: SparkSession, sf_dir: str, k: int = 5) -> Data
     top = res.matrix.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.join(F.broadcast(res.vocabulary.select("term_idx", "term")), "term_idx").select(
         "doc_id", "rank", "term", F.round("value", 6).alias("value"))
+
+
+def classify_with_weights(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
+    """P3 with the closed-form linear model: score and label the unlabelled pool."""
+    from screensift.operators import labels as lb
+    from screensift.plans.features import centroid_scores
+
+    s = centroid_scores(spark, sf_dir)
+    unl = s.filter(F.col("label").isNull())
+    return lb.threshold_predict(unl, threshold).select("doc_id", F.round("score", 6).alias("score"), "pred")
+
+
+def threshold_report(scores: DataFrame, threshold: float) -> DataFrame:
+    """P2 summary: distribution of per-fold AUC, recall and FPR at the chosen threshold."""
+    from screensift.operators import cv
+    from screensift.operators import metrics as M
+
+    m = cv.cv_metrics_from_scores(scores, threshold)
+    long = m.select(F.explode(F.array(
+        F.struct(F.lit("auc").alias("metric"), F.col("auc").alias("v")),
+        F.struct(F.lit("recall").alias("metric"), F.col("recall").alias("v")),
+        F.struct(F.lit("fpr").alias("metric"), F.col("fpr").alias("v")))).alias("m")).select("m.*")
+    return M.summary(long, "v", ["metric"])

@@ -89,9 +89,9 @@ SQL_SUBSETS = f"""{SQL_LAB},
 train AS (SELECT v.vfold AS fold, f.doc_id, f.label FROM folds f, range(5) v(vfold) WHERE f.fold <> v.vfold),
 small AS (SELECT min(c) < 13 AS s FROM (SELECT label, count(*) AS c FROM lab GROUP BY label)),
 props AS (SELECT CAST(proportion AS DOUBLE) AS proportion FROM {SQL_PROPS}, small WHERE NOT s OR proportion >= 0.2),
-tc AS (SELECT fold, label, count(*) AS n FROM train GROUP BY fold, label),
-tcp AS (SELECT tc.*, p.proportion, sum(n) OVER (PARTITION BY fold, proportion) AS tot,
-               ceil(p.proportion * sum(n) OVER (PARTITION BY fold, proportion)) AS sub FROM tc, props p),
+tcnt AS (SELECT fold, label, count(*) AS n FROM train GROUP BY fold, label),
+tcp AS (SELECT tcnt.*, p.proportion, sum(n) OVER (PARTITION BY fold, proportion) AS tot,
+               ceil(p.proportion * sum(n) OVER (PARTITION BY fold, proportion)) AS sub FROM tcnt, props p),
 alloc AS ({sql_largest_remainder("tcp", ["fold", "proportion"], "tot - sub", "tot")}),
 rk AS (SELECT fold, doc_id, label, row_number() OVER (PARTITION BY fold, label
          ORDER BY md5(concat_ws('-', 42, fold, doc_id)), doc_id) AS r FROM train),
