@@ -46,6 +46,7 @@ def prefix_scan(
     order_key: Column,
     sums: Sequence[str],
     neighbours: bool = False,
+    maxes: Sequence[str] = (),
 ) -> DataFrame:
     """Add running totals in ``order_key`` order within each ``partition_by`` group.
 
@@ -67,12 +68,17 @@ def prefix_scan(
         for c in sums:
             local = local.withColumn(f"_ln_{c}", F.lead(f"_lc_{c}").over(w))
             local = local.withColumn(f"_lp_{c}", F.lag(f"_lc_{c}").over(w))
+    for c in maxes:
+        local = local.withColumn(f"_lm_{c}", F.max(c).over(upto))
+        local = local.withColumn(f"_lmp_{c}", F.lag(f"_lm_{c}").over(w))
 
     aggs = [F.count(F.lit(1)).alias("_bn")]
     for c in sums:
         aggs.append(F.sum(c).alias(f"_bs_{c}"))
         if neighbours:
             aggs.append(F.min_by(F.col(c), order_key).alias(f"_bf_{c}"))
+    for c in maxes:
+        aggs.append(F.max(c).alias(f"_bm_{c}"))
     summary = df.groupBy(*keys).agg(*aggs)
 
     ws = (Window.partitionBy(*parts) if parts else Window).orderBy(bucket)
@@ -89,6 +95,8 @@ def prefix_scan(
         cols.append(F.sum(f"_bs_{c}").over(whole).alias(f"{c}_total"))
         if neighbours:
             cols.append((off + F.col(f"_bs_{c}") + F.lead(f"_bf_{c}").over(ws)).alias(f"_nf_{c}"))
+    for c in maxes:
+        cols.append(F.max(f"_bm_{c}").over(before).alias(f"_om_{c}"))
     summary = summary.select(*cols)
 
     out = local.join(summary, on=keys, how="inner")
@@ -105,7 +113,11 @@ def prefix_scan(
                 f"{c}_cum_next",
                 F.coalesce(F.col(f"_ln_{c}") + F.col(f"_oc_{c}"), F.col(f"_nf_{c}")),
             )
+    for c in maxes:
+        out = out.withColumn(f"{c}_cummax", F.greatest(F.col(f"_lm_{c}"), F.col(f"_om_{c}")))
+        out = out.withColumn(f"{c}_cummax_prev", F.greatest(F.col(f"_lmp_{c}"), F.col(f"_om_{c}")))
     drop = ["_rn", "_on"] + [f"_lc_{c}" for c in sums] + [f"_oc_{c}" for c in sums]
+    drop += [f"_{p}_{c}" for c in maxes for p in ("lm", "lmp", "om")]
     if neighbours:
         drop += [f"_ln_{c}" for c in sums] + [f"_lp_{c}" for c in sums] + [f"_nf_{c}" for c in sums]
     return out.drop(*drop)
