@@ -175,16 +175,10 @@ def histogram(df: DataFrame, col: str, bin_size: float, groups: Sequence[str] =
         F.count(F.lit(1)).alias("count")).withColumn("bin_start", F.col("bin") * F.lit(float(bin_size)))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[str] = (),
-                    n_buckets: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles (numpy default) without buffering a group in one task.
-
-    Distinct values are counted (partial aggregation), ranked by a prefix scan
-    and the two ranks around (n - 1) * p are looked up per p.
-    """
+def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], groups: Sequence[str] = (),
+                          n_buckets: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles from a (groups..., v, c) table of value counts."""
     g = list(groups)
-    vc = df.filter(F.col(col).isNotNull()).groupBy(*g, F.col(col).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("c"))
     nb = n_buckets or default_buckets(vc)
     vc = vc.withColumn("_bk", quantile_bucket(vc, "v", nb))
     ranked = prefix_scan(vc, g, "_bk", F.col("v"), ["c"])  # c_cum, c_total
@@ -203,6 +197,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Seq
     return agg.select(*g, "p", q.alias("q"))
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[str] = (),
+                    n_buckets: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles (numpy default) without buffering a group in one task.
+
+    Distinct values are counted (partial aggregation), ranked by a prefix scan
+    and the two ranks around (n - 1) * p are looked up per p.
+    """
+    g = list(groups)
+    vc = df.filter(F.col(col).isNotNull()).groupBy(*g, F.col(col).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("c"))
+    return quantiles_from_counts(vc, probs, g, n_buckets)
+
+
 def summary(df: DataFrame, col: str, groups: Sequence[str] = ()) -> DataFrame:
     """Mean, median, population std, min, max (median via exact_quantiles)."""
     g = list(groups)
