@@ -39,3 +39,141 @@ def threshold_report(scores: DataFrame, threshold: float) -> DataFrame:
         F.struct(F.lit("recall").alias("metric"), F.col("recall").alias("v")),
         F.struct(F.lit("fpr").alias("metric"), F.col("fpr").alias("v")))).alias("m")).select("m.*")
     return M.summary(long, "v", ["metric"])
+
+
+# ---- P1: find a model ---------------------------------------------------------------
+
+from dataclasses import dataclass, field  # noqa: E402
+
+
+@dataclass(frozen=True)
+class FindModelOptions:
+    model_name: str = "xgboost"
+    search: "object" = None            # SearchOptions; defaults built from model_name
+    stability_repeats: int = 100
+    stability_folds: int = 3
+    target_tpr: float = 1.0
+    positive: str = "1"
+    learning_curve_folds: int = 5
+    parallelism: int = 2
+    tfidf: "object" = None             # TfidfOptions
+    extra: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        if self.stability_repeats < 1:
+            raise ValueError("stability_repeats must be >= 1")
+
+
+def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame, out_dir: str,
+               opts: FindModelOptions = FindModelOptions()) -> dict[str, str]:
+    """Features -> search -> OOF scores and reports -> stability -> refit -> SHAP -> artifacts."""
+    from pyspark.ml import PipelineModel
+
+    from screensift.operators import cv, explain as X, labels as lb, metrics as M, models as md
+    from screensift.operators import search as H
+    from screensift.operators.search_loop import SearchOptions, run_search
+    from screensift.sources import files as io
+
+    topts = opts.tfidf or tf.TfidfOptions()
+    lb.check_no_empty_rows(labelled)
+    lb.check_no_empty_rows(unlabelled)
+    labels = lb.binarize(labelled.select("doc_id", "label"), "label", opts.positive)
+    corpus = tf.with_part(labelled, unlabelled)
+    res = tf.tfidf(corpus.drop("part"), topts)
+    vec = md.vectorizer(res.vocabulary, topts)
+    from screensift.operators.models import featurize
+    feats = featurize(corpus.drop("part"), vec, topts).persist()
+    lab = feats.join(labels, "doc_id")
+    unl = feats.join(unlabelled.select("doc_id"), "doc_id", "left_semi")
+    sopts = opts.search or SearchOptions(model_name=opts.model_name)
+    trials, scores = run_search(spark, lab, labels, H.default_ranges(spark), sopts, f"{out_dir}/search")
+    best = H.best_trial(trials.filter(F.col("state") == "COMPLETE").select("study", "trial", "objective"))
+    best_row = best.join(trials, ["study", "trial"]).select("params").first()
+    params = {k: _num(v) for k, v in (best_row["params"] if best_row else {}).items()}
+    oof = cv.cv_scores(spark, lab, labels, opts.model_name, params, sopts.nfolds, 1, opts.parallelism)
+    valid = oof.filter(F.col("split") == "valid")
+    reports = {
+        "roc": M.roc_curve(valid),
+        "threshold": M.threshold_for_tpr(valid, [opts.target_tpr]),
+        "score_histogram": M.histogram(valid, "score", 0.1, ["label"]),
+        "fold_auc": M.roc_auc(valid, ["fold"]),
+        "learning_curve": cv.learning_curve(spark, lab, labels, opts.model_name, params,
+                                            opts.learning_curve_folds, parallelism=opts.parallelism),
+        "stability": cv.cv_metrics(spark, lab, labels, opts.model_name, params, opts.stability_folds,
+                                   opts.stability_repeats, parallelism=opts.parallelism),
+    }
+    cw = lb.class_weight(labels).first()
+    model, ignored = md.fit(lab, opts.model_name, params, n_rows=cw["n_pos"] + cw["n_neg"], weight=cw["weight"])
+    if hasattr(model, "coefficients"):
+        w = spark.createDataFrame([(int(i), float(v)) for i, v in enumerate(model.coefficients.toArray()) if v != 0],
+                                  "term_idx int, weight double")
+        shap = X.shap_linear(res.matrix, w, unl.select("doc_id"))
+    else:
+        vecs = tf.to_vector_arrays(res.matrix, unl.select("doc_id"))
+        shap = X.shap_tree(spark, model, vecs)
+    paths = io.write_artifacts(out_dir, res.vocabulary, res.matrix, labels, best)
+    for k, df in reports.items():
+        df.write.mode("errorifexists").parquet(f"{out_dir}/reports/{k}")
+    shap.write.mode("errorifexists").parquet(f"{out_dir}/shap")
+    io.save_model(PipelineModel(stages=list(vec.stages) + [model]), f"{out_dir}/model")
+    feats.unpersist()
+    res.unpersist()
+    paths.update({"model": f"{out_dir}/model", "shap": f"{out_dir}/shap", "reports": f"{out_dir}/reports",
+                  "ignored_params": ",".join(ignored)})
+    return paths
+
+
+def _num(v):
+    from screensift.operators.search_loop import _parse
+    return _parse(v)
+
+
+# ---- P2 / P3 / P4 ---------------------------------------------------------------------
+
+def analyse_threshold(spark: SparkSession, features: DataFrame, labels: DataFrame, model_name: str,
+                      params: dict, threshold: float, nfolds: int = 3, repeats: int = 100,
+                      parallelism: int = 2) -> dict[str, DataFrame]:
+    """Repeated-CV recall / FPR distributions and train / validation confusion at a threshold."""
+    from screensift.operators import cv, metrics as M
+
+    sc = cv.cv_scores(spark, features, labels, model_name, params, nfolds, repeats, parallelism)
+    m = cv.cv_metrics_from_scores(sc, threshold)
+    return {
+        "metrics": m,
+        "recall_histogram": M.histogram(m, "recall", 0.005),
+        "fpr_histogram": M.histogram(m, "fpr", 0.005),
+        "summary": threshold_report(sc, threshold),
+        "confusion": M.confusion(sc, threshold, ["split"]),
+    }
+
+
+def classify(spark: SparkSession, records: DataFrame, model_path: str, threshold: float, out_path: str,
+             opts=None) -> DataFrame:
+    """Score the unlabelled pool with a saved pipeline and write (doc_id, score, pred)."""
+    from screensift.operators import models as md
+    from screensift.sources import files as io
+
+    model = io.load_model(model_path)
+    terms = md.with_terms(records, opts or tf.TfidfOptions())
+    out = md.score(model, terms).withColumn("pred", (F.col("score") >= F.lit(float(threshold))).cast("int"))
+    out = out.select("doc_id", "score", "pred")
+    io.write_parquet(out, out_path)
+    return spark.read.parquet(out_path)
+
+
+def compare_models(spark: SparkSession, features: DataFrame, labels: DataFrame,
+                   models: list[tuple[str, str, dict, float]], nfolds: int = 3, repeats: int = 1,
+                   parallelism: int = 2) -> DataFrame:
+    """Several (name, model, params, threshold) over the same folds -> per-model fold metrics."""
+    from screensift.operators import cv
+
+    parts, thr = [], []
+    for name, model_name, params, t in models:
+        s = cv.cv_scores(spark, features, labels, model_name, params, nfolds, repeats, parallelism)
+        parts.append(s.filter(F.col("split") == "valid").withColumn("model", F.lit(name)))
+        thr.append((name, float(t)))
+    allsc = parts[0]
+    for p in parts[1:]:
+        allsc = allsc.unionByName(p)
+    thresholds = spark.createDataFrame(thr, "model string, threshold double")
+    return cv.cv_metrics_per_model(allsc, thresholds, ["model", "repeat", "fold"])
