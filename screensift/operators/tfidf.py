@@ -113,6 +113,7 @@ class TfidfResult:
     counts: DataFrame | None = None  # persisted (doc_id, term, tf); release with unpersist()
 
     def unpersist(self) -> None:
+        self.matrix.unpersist()
         if self.counts is not None:
             self.counts.unpersist()
 
@@ -123,9 +124,11 @@ def tfidf(records: DataFrame, opts: TfidfOptions = TfidfOptions(), lemmas: DataF
     # used by both the vocabulary fit and the transform: computed once
     tc = term_counts(words(corpus, opts, lemmas), opts).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = corpus.select(F.count(F.lit(1))).scalar()
-    vocab = fit_vocabulary(tc, n_docs, opts)
+    # the fitted state is small (<= max_features rows): cut its lineage once in the
+    # shared checkpoint folder so every consumer reads it instead of re-fitting
+    vocab = fit_vocabulary(tc, n_docs, opts).checkpoint(eager=True)
     bounded = opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY
-    matrix = transform(tc, vocab, bounded)
+    matrix = transform(tc, vocab, bounded).persist(StorageLevel.MEMORY_AND_DISK)
     return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"), tc)
 
 
