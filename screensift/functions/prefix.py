@@ -72,14 +72,17 @@ def prefix_scan(
         local = local.withColumn(f"_lm_{c}", F.max(c).over(upto))
         local = local.withColumn(f"_lmp_{c}", F.lag(f"_lm_{c}").over(w))
 
-    aggs = [F.count(F.lit(1)).alias("_bn")]
+    # Per-bucket summary from the windowed rows themselves: they are already
+    # clustered by (partition_by, bucket), so this aggregate needs no exchange
+    # and the input is not scanned a second time.
+    aggs = [F.max("_rn").alias("_bn")]
     for c in sums:
-        aggs.append(F.sum(c).alias(f"_bs_{c}"))
+        aggs.append(F.max_by(f"_lc_{c}", "_rn").alias(f"_bs_{c}"))
         if neighbours:
-            aggs.append(F.min_by(F.col(c), order_key).alias(f"_bf_{c}"))
+            aggs.append(F.min_by(F.col(c), "_rn").alias(f"_bf_{c}"))
     for c in maxes:
-        aggs.append(F.max(c).alias(f"_bm_{c}"))
-    summary = df.groupBy(*keys).agg(*aggs)
+        aggs.append(F.max_by(f"_lm_{c}", "_rn").alias(f"_bm_{c}"))
+    summary = local.groupBy(*keys).agg(*aggs)
 
     ws = (Window.partitionBy(*parts) if parts else Window).orderBy(bucket)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
