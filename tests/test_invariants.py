@@ -78,3 +78,26 @@ def test_recall_at_threshold_reaches_target(spark):
     t = M.threshold_for_tpr(sc, [0.9]).filter(F.col("variant") == "exact").first()["threshold"]
     r = M.recall_fpr(M.confusion(sc, t)).first()["recall"]
     assert r >= 0.9
+
+
+def test_sampled_shap_additivity_rff(spark, labels):
+    import math
+
+    import numpy as np
+
+    from screensift.operators import labels as lb
+
+    res = tf.tfidf(tb.records(spark, SMOKE))
+    d, gamma = 8, 1.0
+    z = md.rff_features(res.matrix, res.docs, gamma=gamma, n_components=d)
+    lab = z.join(labels, "doc_id")
+    cw = lb.class_weight(labels).first()
+    model, _ = md.fit(lab, "SVC", {"kernel": "rbf", "C": 10.0}, n_rows=cw["n_pos"] + cw["n_neg"],
+                      weight=cw["weight"])
+    W, b = X.rff_matrix(spark, res.vocabulary.count(), gamma, d)
+    coef = model.coefficients.toArray()
+    f0 = math.sqrt(2.0 / d) * np.cos(b) @ coef + model.intercept
+    vec = tf.to_vector_arrays(res.matrix, res.docs)
+    shap = X.shap_sampled_rff(spark, vec, W, b, coef, model.intercept, n_permutations=3)
+    scores = md.score(model, z.join(labels, "doc_id", "left")).select("doc_id", "score")
+    assert X.additivity(shap, scores, float(f0)).first()["max_abs_error"] < 1e-9
