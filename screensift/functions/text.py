@@ -97,14 +97,19 @@ def stop_word_array() -> Column:
 
 
 def drop_stop_words_col(tokens: Column) -> Column:
-    """Filter stop words out of a token array (bounded literal set, no join)."""
-    stops = stop_word_array()
-    return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
+    """Filter stop words out of a token array (bounded literal set, no join).
+
+    ``isin`` over many literals is rewritten by the optimizer to a hash-set
+    lookup (InSet), unlike ``array_contains``, which scans the list per token.
+    """
+    return F.filter(tokens, lambda t: ~t.isin(*ENGLISH_STOP_WORDS))
 
 
 def _gram_of(words: Column, n: int):
     # one-argument lambda: PySpark passes the element index to two-argument ones
-    return lambda i: F.array_join(F.slice(words, i, n), " ")
+    if n == 1:
+        return lambda i: F.element_at(words, i)
+    return lambda i: F.concat_ws(" ", *[F.element_at(words, i + k) for k in range(n)])
 
 
 def _ngrams_of(words: Column, n_min: int, n_max: int) -> Column:
