@@ -237,8 +237,8 @@ def box_stats(df: DataFrame, col: str, groups: Sequence[str]) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     x = F.col(col).cast("double")
-    # groups table is small (one row per box): Spark/AQE broadcasts it
-    joined = df.select(*g, x.alias("x")).join(wide, g)
+    # one row per box: bounded by the number of boxes, broadcast
+    joined = df.select(*g, x.alias("x")).join(F.broadcast(wide), g)
     return joined.groupBy(*g).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(F.col("x") >= lo_f, F.col("x"))).alias("whisker_low"),
