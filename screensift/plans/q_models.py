@@ -280,3 +280,16 @@ def q_learning_curve_bands(spark, sf):
     b = cv.learning_curve_bands(centroid_learning_curve(spark, sf))
     cols = ["mean_train_size", "train_auc_mean", "val_auc_mean", "val_auc_min", "val_auc_max", "val_auc_std"]
     return b.select("proportion", *[R(c).alias(c) for c in cols])
+
+
+@register("fold_rows", f"""WITH {ctes_tfidf()},
+{LAB},
+{sql_folds(3, "0")}
+SELECT t.doc_id, t.term_idx, {r6('t.value')} AS value FROM tfidf t
+WHERE t.doc_id IN (SELECT doc_id FROM folds WHERE fold <> 0)""")
+def q_fold_rows(spark, sf):
+    """V4: the TF-IDF rows of the training part of validation fold 0 (semi join on the fold column)."""
+    res = tf.tfidf(tb.records(spark, sf))
+    folds = sp.stratified_folds(fx.labels_of(spark, sf), 3, 0)
+    train = folds.filter(F.col("fold") != 0).select("doc_id")
+    return res.matrix.join(train, "doc_id", "left_semi").select("doc_id", "term_idx", R("value").alias("value"))
