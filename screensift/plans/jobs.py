@@ -55,6 +55,8 @@ class FindModelOptions:
     target_tpr: float = 1.0
     positive: str = "1"
     learning_curve_folds: int = 5
+    learning_curve_proportions: tuple = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
+    user_ranges: "object" = None       # DataFrame of range rows; replaces whole default entries (H1)
     parallelism: int = 2
     tfidf: "object" = None             # TfidfOptions
     extra: dict = field(default_factory=dict)
@@ -86,7 +88,10 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
     lab = feats.join(labels, "doc_id")
     unl = feats.join(unlabelled.select("doc_id"), "doc_id", "left_semi")
     sopts = opts.search or SearchOptions(model_name=opts.model_name)
-    trials, scores = run_search(spark, lab, labels, H.default_ranges(spark), sopts, f"{out_dir}/search")
+    ranges = H.default_ranges(spark)
+    if opts.user_ranges is not None:
+        ranges = H.merge_ranges(ranges, opts.user_ranges)
+    trials, scores = run_search(spark, lab, labels, ranges, sopts, f"{out_dir}/search")
     best = H.best_trial(trials.filter(F.col("state") == "COMPLETE").select("study", "trial", "objective"))
     best_row = best.join(trials, ["study", "trial"]).select("params").first()
     params = {k: _num(v) for k, v in (best_row["params"] if best_row else {}).items()}
@@ -98,7 +103,8 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
         "score_histogram": M.histogram(valid, "score", 0.1, ["label"]),
         "fold_auc": M.roc_auc(valid, ["fold"]),
         "learning_curve": cv.learning_curve(spark, lab, labels, opts.model_name, params,
-                                            opts.learning_curve_folds, parallelism=opts.parallelism),
+                                            opts.learning_curve_folds, opts.learning_curve_proportions,
+                                            parallelism=opts.parallelism),
         "stability": cv.cv_metrics(spark, lab, labels, opts.model_name, params, opts.stability_folds,
                                    opts.stability_repeats, parallelism=opts.parallelism),
     }
