@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from screensift.functions.prefix import global_rank, quantile_bucket
 from screensift.functions import text as tx
+from screensift.session import checkpoint
 from screensift.operators import text as tt
 
 # Largest vocabulary we sort in one partition and broadcast.
@@ -126,7 +127,7 @@ def tfidf(records: DataFrame, opts: TfidfOptions = TfidfOptions(), lemmas: DataF
     n_docs = corpus.select(F.count(F.lit(1))).scalar()
     # the fitted state is small (<= max_features rows): cut its lineage once in the
     # shared checkpoint folder so every consumer reads it instead of re-fitting
-    vocab = fit_vocabulary(tc, n_docs, opts).checkpoint(eager=True)
+    vocab = checkpoint(fit_vocabulary(tc, n_docs, opts))
     bounded = opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY
     matrix = transform(tc, vocab, bounded).persist(StorageLevel.MEMORY_AND_DISK)
     return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"), tc)
