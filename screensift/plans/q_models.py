@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from screensift.operators import cv
@@ -145,12 +146,13 @@ def centroid_cv_scores(spark, sf, nfolds=CV_FOLDS, repeats=CV_REPEATS):
     """
     res = tf.tfidf(tb.records(spark, sf))
     labels = fx.labels_of(spark, sf)
-    folds = sp.repeated_folds(labels, nfolds, repeats)
+    # consumed by three branches below: computed once
+    folds = sp.repeated_folds(labels, nfolds, repeats).persist(StorageLevel.MEMORY_AND_DISK)
     pos, neg = F.col("label") == 1, F.col("label") == 0
     tot = res.matrix.join(labels, "doc_id").groupBy("term_idx").agg(
         F.sum(F.when(pos, F.col("value")).otherwise(0.0)).alias("sp"),
         F.sum(F.when(neg, F.col("value")).otherwise(0.0)).alias("sn"))
-    fm = res.matrix.join(folds, "doc_id")
+    fm = res.matrix.join(folds, "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
     per = fm.groupBy("repeat", "fold", "term_idx").agg(
         F.sum(F.when(pos, F.col("value")).otherwise(0.0)).alias("spf"),
         F.sum(F.when(neg, F.col("value")).otherwise(0.0)).alias("snf"))
