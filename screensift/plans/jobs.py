@@ -57,6 +57,7 @@ class FindModelOptions:
     learning_curve_folds: int = 5
     learning_curve_proportions: tuple = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
     user_ranges: "object" = None       # DataFrame of range rows; replaces whole default entries (H1)
+    lemmatize: bool = False            # T2: lemma table derived from the corpus by suffix rules
     parallelism: int = 2
     tfidf: "object" = None             # TfidfOptions
     extra: dict = field(default_factory=dict)
@@ -81,7 +82,11 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
     lb.check_no_empty_rows(unlabelled)
     labels = lb.binarize(labelled.select("doc_id", "label"), "label", opts.positive)
     corpus = tf.with_part(labelled, unlabelled)
-    res = tf.tfidf(corpus.drop("part"), topts)
+    lemmas = None
+    if opts.lemmatize:
+        from screensift.operators import text as tt
+        lemmas = tt.lemma_table(tt.tokens(corpus.drop("part"), topts.null_token))
+    res = tf.tfidf(corpus.drop("part"), topts, lemmas)
     vec = md.vectorizer(res.vocabulary, topts)
     from screensift.operators.models import featurize
     feats = featurize(corpus.drop("part"), vec, topts).persist()

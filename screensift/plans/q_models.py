@@ -239,13 +239,16 @@ def centroid_learning_curve(spark, sf):
     """Learning curve of the centroid model: (proportion, fold, train_size, train_auc, val_auc)."""
     res = tf.tfidf(tb.records(spark, sf))
     labels = fx.labels_of(spark, sf)
-    subsets = sp.learning_subsets(labels)
+    # read by the weights, both scorers and the proportion list: computed once
+    subsets = sp.learning_subsets(labels).persist(StorageLevel.MEMORY_AND_DISK)
     g = ("fold", "proportion")
-    w = md.centroid_weights(res.matrix, subsets, g)
-    tr = md.linear_score(res.matrix, w, subsets, groups=g).withColumn("score", F.round("score", 9))
+    w = md.centroid_weights(res.matrix, subsets, g).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = md.linear_score(res.matrix, w, subsets, groups=g).withColumn("score", F.round("score", 9)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     props = subsets.select("fold", "proportion").distinct()
     val = sp.stratified_folds(labels, 5, 42).join(F.broadcast(props), "fold")
-    va = md.linear_score(res.matrix, w, val, groups=g).withColumn("score", F.round("score", 9))
+    va = md.linear_score(res.matrix, w, val, groups=g).withColumn("score", F.round("score", 9)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     tra = M.roc_auc(tr, list(g)).select(*g, F.col("auc").alias("train_auc"),
                                         (F.col("n_pos") + F.col("n_neg")).alias("train_size"))
     vaa = M.roc_auc(va, list(g)).select(*g, F.col("auc").alias("val_auc"))

@@ -67,3 +67,14 @@ def test_log_range_draws_inside(spark):
     c = H.draw_candidates(trials, H.default_ranges(spark).filter(F.col("param") == "C"))
     r = c.agg(F.min("value_num"), F.max("value_num")).first()
     assert 1e-3 <= r[0] and r[1] <= 1e5
+
+
+def test_lemmatized_features(spark):
+    from screensift.operators import text as tt
+
+    df = spark.createDataFrame([(i, "model", "models studies study") for i in range(3)], REC)
+    lem = tt.lemma_table(tt.tokens(df))
+    assert {(r["token"], r["lemma"]) for r in lem.collect()} == {("models", "model"), ("studies", "study")}
+    res = tf.tfidf(df, tf.TfidfOptions(min_df=3), lemmas=lem)
+    terms = {r["term"] for r in res.vocabulary.collect()}
+    assert "a_model a_study a_study" in terms and "a_models" not in terms
