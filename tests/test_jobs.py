@@ -44,3 +44,20 @@ def test_analyse_threshold_and_compare(spark):
                               [("lin", "xgboost", params, 0.0), ("svc", "SVC", {"C": 1.0}, 0.0)])
     assert cmp.select("model").distinct().count() == 2
     assert cmp.filter(F.col("auc").isNull()).count() == 0
+
+
+def test_search_resumes(spark):
+    from screensift.operators import search as H
+    from screensift.operators.search_loop import load_study, run_search
+
+    f = fx.prepare(spark, SMOKE)
+    rng = H.merge_ranges(H.default_ranges(spark), spark.createDataFrame(
+        [("xgboost", "booster", "singular", None, None, None, "gblinear", None),
+         ("xgboost", "n_estimators", "int", 5.0, 8.0, False, None, None)], H.RANGE_SCHEMA))
+    path = scratch_path(spark, "search-resume")
+    opts = SearchOptions(study="r", model_name="xgboost", n_trials=1, nfolds=3, batch_size=1)
+    run_search(spark, f.labelled, f.labels, rng, opts, path)
+    opts2 = SearchOptions(study="r", model_name="xgboost", n_trials=2, nfolds=3, batch_size=1)
+    run_search(spark, f.labelled, f.labels, rng, opts2, path)
+    t, s = load_study(spark, path, "r")
+    assert sorted(r["trial"] for r in t.collect()) == [0, 1]
