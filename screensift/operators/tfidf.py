@@ -63,8 +63,17 @@ def term_counts(word_df: DataFrame, opts: TfidfOptions = TfidfOptions()) -> Data
     narrow: no aggregate, no shuffle, and its output keeps the input's doc_id
     partitioning.
     """
+    return explode_counts(doc_term_arrays(word_df, opts))
+
+
+def doc_term_arrays(word_df: DataFrame, opts: TfidfOptions = TfidfOptions()) -> DataFrame:
+    """(doc_id, counts ARRAY<STRUCT<term, tf>>): one row per document."""
     grams = tx.ngram_col(F.col("words"), opts.ngram_min, opts.ngram_max)
-    return word_df.select("doc_id", F.inline_outer(tx.term_count_col(grams))).filter(F.col("term").isNotNull())
+    return word_df.select("doc_id", tx.term_count_col(grams).alias("counts"))
+
+
+def explode_counts(arrays: DataFrame) -> DataFrame:
+    return arrays.select("doc_id", F.inline_outer("counts")).filter(F.col("term").isNotNull())
 
 
 def doc_freq(tc: DataFrame) -> DataFrame:
@@ -111,7 +120,7 @@ class TfidfResult:
     matrix: DataFrame          # doc_id, term_idx, value
     n_features: Column         # scalar subquery: vocabulary size
     docs: DataFrame            # doc_id of every corpus row (empty documents included)
-    counts: DataFrame | None = None  # persisted (doc_id, term, tf); release with unpersist()
+    counts: DataFrame | None = None  # persisted (doc_id, counts); release with unpersist()
 
     def unpersist(self) -> None:
         self.matrix.unpersist()
@@ -122,15 +131,17 @@ class TfidfResult:
 def tfidf(records: DataFrame, opts: TfidfOptions = TfidfOptions(), lemmas: DataFrame | None = None) -> TfidfResult:
     """Whole chain with one vocabulary for the corpus given (labelled + unlabelled)."""
     corpus = cluster_by_doc(records)
-    # used by both the vocabulary fit and the transform: computed once
-    tc = term_counts(words(corpus, opts, lemmas), opts).persist(StorageLevel.MEMORY_AND_DISK)
+    # used by both the vocabulary fit and the transform: computed once, cached
+    # compactly as one row of (term, tf) pairs per document
+    arrays = doc_term_arrays(words(corpus, opts, lemmas), opts).persist(StorageLevel.MEMORY_AND_DISK)
+    tc = explode_counts(arrays)
     n_docs = corpus.select(F.count(F.lit(1))).scalar()
     # the fitted state is small (<= max_features rows): cut its lineage once in the
     # shared checkpoint folder so every consumer reads it instead of re-fitting
     vocab = checkpoint(fit_vocabulary(tc, n_docs, opts))
     bounded = opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY
     matrix = transform(tc, vocab, bounded).persist(StorageLevel.MEMORY_AND_DISK)
-    return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"), tc)
+    return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"), arrays)
 
 
 def with_part(labelled: DataFrame, unlabelled: DataFrame) -> DataFrame:
