@@ -253,7 +253,7 @@ KERNEL_CUTOFF = 9.0  # bandwidths; exp(-81/2) ~ 2.6e-18 relative: below double p
 
 
 def score_density(scores: DataFrame, groups: Sequence[str] = ("label",), grid_points: int = GRID_POINTS,
-                  bin_width: float | None = None) -> DataFrame:
+                  bin_width: float | None = None, curve_type: str = "kde") -> DataFrame:
     """Gaussian KDE per group, Scott bandwidth, grid x_i = min + i (max - min) / grid_points.
 
     Scores are first reduced to (value, weight) -- distinct values, or bins of
@@ -268,6 +268,18 @@ def score_density(scores: DataFrame, groups: Sequence[str] = ("label",), grid_po
                                    F.stddev_samp(s).alias("sd"))
     stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).withColumn(
         "step", (F.col("hi") - F.col("lo")) / F.lit(float(grid_points)))
+    if curve_type == "normal":
+        # fitted normal (mean, population std) on the same grid; one row per group
+        mom = scores.groupBy(*g).agg(F.avg(s).alias("mu"), F.stddev_pop(s).alias("sig"))
+        st = stats.join(F.broadcast(mom), g).filter(F.col("step") > 0)
+        grid = st.select(*g, "lo", "step", "mu", "sig",
+                         F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"))
+        x = F.col("lo") + F.col("i") * F.col("step")
+        z = (x - F.col("mu")) / F.col("sig")
+        dens = F.exp(-0.5 * z * z) / (F.col("sig") * F.lit((2 * 3.141592653589793) ** 0.5))
+        return grid.select(*g, F.col("i").cast("int").alias("i"), x.alias("x"), dens.alias("density"))
+    if curve_type != "kde":
+        raise ValueError("curve_type must be 'kde' or 'normal'")
     v = F.floor(s / bin_width) * bin_width + bin_width / 2 if bin_width else s
     pts = scores.groupBy(*g, v.alias("v")).agg(F.count(F.lit(1)).alias("w"))
     # one row per group (bounded by the number of classes/groups)
