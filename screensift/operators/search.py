@@ -287,7 +287,8 @@ def prune_first_two(scores: DataFrame, best: DataFrame) -> DataFrame:
     """
     s0 = scores.filter(F.col("step") == 0).select("study", "trial", F.col("auc").alias("s0"))
     b = best.select("study", "trial", "best_trial")
-    bs = scores.filter(F.col("step") <= 1).groupBy("study", "trial").agg(
+    bests = b.select("study", F.col("best_trial").alias("trial")).distinct()
+    bs = scores.filter(F.col("step") <= 1).join(bests, ["study", "trial"], "left_semi").groupBy("study", "trial").agg(
         F.max(F.when(F.col("step") == 0, F.col("auc"))).alias("b0"),
         F.max(F.when(F.col("step") == 1, F.col("auc"))).alias("b1")).withColumnRenamed("trial", "best_trial")
     j = s0.join(b, ["study", "trial"]).join(bs, ["study", "best_trial"], "left")
@@ -303,7 +304,10 @@ def wilcoxon_stats(scores: DataFrame, best: DataFrame) -> DataFrame:
     """
     b = best.filter(F.col("best_trial").isNotNull() & (F.col("trial") >= 2)).select("study", "trial", "best_trial")
     mine = scores.join(b, ["study", "trial"])
-    theirs = scores.select("study", F.col("trial").alias("best_trial"), "step", F.col("auc").alias("best_auc"))
+    bests = b.select("study", "best_trial").distinct()
+    theirs = scores.select("study", F.col("trial").alias("best_trial"), "step", F.col("auc").alias("best_auc")).join(
+        bests, ["study", "best_trial"], "left_semi")
+    # many trials can share one best trial (a hot key): AQE's skew join splits that side
     d = mine.join(theirs, ["study", "best_trial", "step"]).withColumn("d", F.col("auc") - F.col("best_auc"))
     d = d.withColumn("a", F.abs("d"))
     w = Window.partitionBy("study", "trial").orderBy("a")
