@@ -46,24 +46,33 @@ def cumulative_counts(scores: DataFrame, groups: Sequence[str] = (), neighbours:
     return out.drop("_bk")
 
 
-def roc_curve(scores: DataFrame, groups: Sequence[str] = (), drop_intermediate: bool = True,
-              n_buckets: int | None = None) -> DataFrame:
-    """(groups..., threshold, fps, tps, fpr, tpr); first point (+inf, 0, 0)."""
+def roc_points(scores: DataFrame, groups: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """Full ROC (every distinct score, plus the +inf start) with ``keep``: the point
+    survives the library's thinning of collinear points (second differences)."""
     g = list(groups)
-    cc = cumulative_counts(scores, g, neighbours=drop_intermediate, n_buckets=n_buckets)
-    if drop_intermediate:
-        second_fps = F.col("fps_next") - 2 * F.col("fps") + F.col("fps_prev")
-        second_tps = F.col("tps_next") - 2 * F.col("tps") + F.col("tps_prev")
-        keep = (F.col("_idx") == 1) | (F.col("_idx") == F.col("_n")) | (second_fps != 0) | (second_tps != 0)
-        cc = cc.filter(keep)
-    pts = cc.select(*g, F.col("score").cast("double").alias("threshold"), "fps", "tps", "P", "N")
+    cc = cumulative_counts(scores, g, neighbours=True, n_buckets=n_buckets)
+    second_fps = F.col("fps_next") - 2 * F.col("fps") + F.col("fps_prev")
+    second_tps = F.col("tps_next") - 2 * F.col("tps") + F.col("tps_prev")
+    keep = (F.col("_idx") == 1) | (F.col("_idx") == F.col("_n")) | (second_fps != 0) | (second_tps != 0)
+    pts = cc.select(*g, F.col("score").cast("double").alias("threshold"), "fps", "tps", "P", "N",
+                    F.coalesce(keep, F.lit(False)).alias("keep"))
     start = cc.filter(F.col("_idx") == 1).select(
         *g, F.lit(INF).alias("threshold"), F.lit(0).cast("long").alias("fps"),
-        F.lit(0).cast("long").alias("tps"), "P", "N")
+        F.lit(0).cast("long").alias("tps"), "P", "N", F.lit(True).alias("keep"))
     both = pts.unionByName(start)
     return both.select(*g, "threshold", F.col("fps").cast("long").alias("fps"),
                        F.col("tps").cast("long").alias("tps"),
-                       _div(F.col("fps"), F.col("N")).alias("fpr"), _div(F.col("tps"), F.col("P")).alias("tpr"))
+                       _div(F.col("fps"), F.col("N")).alias("fpr"), _div(F.col("tps"), F.col("P")).alias("tpr"),
+                       "keep")
+
+
+def roc_curve(scores: DataFrame, groups: Sequence[str] = (), drop_intermediate: bool = True,
+              n_buckets: int | None = None) -> DataFrame:
+    """(groups..., threshold, fps, tps, fpr, tpr); first point (+inf, 0, 0)."""
+    pts = roc_points(scores, groups, n_buckets)
+    if drop_intermediate:
+        pts = pts.filter(F.col("keep"))
+    return pts.drop("keep")
 
 
 def roc_auc(scores: DataFrame, groups: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
@@ -92,17 +101,20 @@ def average_precision(scores: DataFrame, groups: Sequence[str] = (), n_buckets:
 
 def threshold_for_tpr(scores: DataFrame, targets: Sequence[float], groups: Sequence[str] = (),
                       n_buckets: int | None = None) -> DataFrame:
-    """Highest ROC threshold with tpr >= target; 'thinned' (the library default) and 'exact'."""
+    """Highest ROC threshold with tpr >= target; 'thinned' (the library default) and 'exact'.
+
+    One ROC scan serves both variants (thinned = the points flagged ``keep``).
+    """
     g = list(groups)
     tg = F.explode(F.array(*[F.lit(float(t)) for t in targets])).alias("target")
-    out = None
-    for variant, thin in (("thinned", True), ("exact", False)):
-        roc = roc_curve(scores, g, drop_intermediate=thin, n_buckets=n_buckets).select(*g, "threshold", "tpr", tg)
-        best = roc.filter(F.col("tpr") >= F.col("target")).groupBy(*g, "target").agg(
-            F.max("threshold").alias("threshold"))
-        best = best.withColumn("variant", F.lit(variant))
-        out = best if out is None else out.unionByName(best)
-    return out.select(*g, "variant", "target", "threshold")
+    roc = roc_points(scores, g, n_buckets).select(*g, "threshold", "tpr", "keep", tg)
+    hit = roc.filter(F.col("tpr") >= F.col("target"))
+    best = hit.groupBy(*g, "target").agg(
+        F.max(F.when(F.col("keep"), F.col("threshold"))).alias("thinned"), F.max("threshold").alias("exact"))
+    long = best.select(*g, "target", F.explode(F.array(
+        F.struct(F.lit("thinned").alias("variant"), F.col("thinned").alias("threshold")),
+        F.struct(F.lit("exact").alias("variant"), F.col("exact").alias("threshold")))).alias("v"))
+    return long.select(*g, "v.variant", "target", "v.threshold").filter(F.col("threshold").isNotNull())
 
 
 def confusion(scores: DataFrame, threshold: float | Column, groups: Sequence[str] = ()) -> DataFrame:
