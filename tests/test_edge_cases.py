@@ -78,3 +78,19 @@ def test_lemmatized_features(spark):
     res = tf.tfidf(df, tf.TfidfOptions(min_df=3), lemmas=lem)
     terms = {r["term"] for r in res.vocabulary.collect()}
     assert "a_model a_study a_study" in terms and "a_models" not in terms
+
+
+def test_tsv_round_trip_with_na_and_quoting(spark):
+    from screensift.session import scratch_path
+    from screensift.sources import files as io
+
+    rows = [("A title", "line one\nline two\twith tab", "1"), ("NA", "n/a", "0"), ("  spaced  ", None, None)]
+    df = spark.createDataFrame(rows, "PaperTitle string, Abstract string, Label string")
+    path = scratch_path(spark, "tsv-test")
+    io.write_tsv(df.coalesce(1), path)
+    back = io.read_labelled(spark, path, "PaperTitle", "Abstract", "Label").orderBy("doc_id").collect()
+    assert back[0]["abstract"] == "line one\nline two\twith tab"
+    assert back[1]["title"] is None and back[1]["abstract"] is None      # pandas-style missing values
+    assert back[2]["title"] == "  spaced  " and back[2]["label"] is None
+    lab = lb.binarize(io.read_labelled(spark, path, "PaperTitle", "Abstract", "Label"), "label", "1")
+    assert sorted(r["label"] for r in lab.collect()) == [0, 0, 1]
