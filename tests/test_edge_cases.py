@@ -94,3 +94,16 @@ def test_tsv_round_trip_with_na_and_quoting(spark):
     assert back[2]["title"] == "  spaced  " and back[2]["label"] is None
     lab = lb.binarize(io.read_labelled(spark, path, "PaperTitle", "Abstract", "Label"), "label", "1")
     assert sorted(r["label"] for r in lab.collect()) == [0, 0, 1]
+
+
+def test_stop_rules_and_range_merge(spark):
+    trials = spark.createDataFrame([("s", "SVC", t, "COMPLETE", 100.0 + 10 * t, 105.0 + 10 * t) for t in range(6)],
+                                   "study string, model string, trial int, state string, started double, "
+                                   "finished double")
+    obj = spark.createDataFrame([("s", t, 0.5 + 0.01 * t) for t in range(6)], "study string, trial int, objective double")
+    rules = {r["rule"]: r["stop_trial"] for r in H.stop_rules(trials, obj, 4, None, 30.0).collect()}
+    assert rules == {"max_trials": 3, "timeout": 3}   # 4th trial counted; trial 3 finishes at 135 >= 100 + 30
+    user = spark.createDataFrame([("SVC", "C", "float", 1.0, 2.0, False, None, None)], H.RANGE_SCHEMA)
+    merged = {r["param"]: r for r in H.merge_ranges(H.default_ranges(spark), user).filter(
+        F.col("model") == "SVC").collect()}
+    assert merged["C"]["high"] == 2.0 and merged["C"]["log"] is False and merged["gamma"]["high"] == 1000.0
