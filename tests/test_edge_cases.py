@@ -107,3 +107,18 @@ def test_stop_rules_and_range_merge(spark):
     merged = {r["param"]: r for r in H.merge_ranges(H.default_ranges(spark), user).filter(
         F.col("model") == "SVC").collect()}
     assert merged["C"]["high"] == 2.0 and merged["C"]["log"] is False and merged["gamma"]["high"] == 1000.0
+
+
+def test_learning_proportions_and_holdout_allocation(spark):
+    from screensift.operators import splits as sp
+
+    small = spark.createDataFrame([(i, 1 if i < 12 else 0) for i in range(40)], "doc_id long, label int")
+    props = sorted(r["proportion"] for r in sp.learning_proportions(small).collect())
+    assert props[0] == 0.2 and len(props) == 9          # 12 positives < 13: 0.1 is dropped
+    big = spark.createDataFrame([(i, 1 if i < 13 else 0) for i in range(40)], "doc_id long, label int")
+    assert len(sp.learning_proportions(big).collect()) == 10
+    # 40 rows, test = ceil(0.333 * 40) = 14; train 26 split 12 positives : 28 negatives by largest remainder
+    s = sp.train_test_split(small, 0.333, 8).groupBy("split", "label").count().collect()
+    got = {(r["split"], r["label"]): r["count"] for r in s}
+    assert got[("test", 0)] + got[("test", 1)] == 14
+    assert got[("train", 1)] == 8 and got[("train", 0)] == 18   # 26*12/40 = 7.8 -> 8, 26*28/40 = 18.2 -> 18
