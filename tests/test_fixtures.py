@@ -101,3 +101,22 @@ def test_density_curves_integrate_to_one(spark):
             (F.sum("density") * ((F.max("x") - F.min("x")) / 499)).alias("area")).collect()
         # the grid spans min..max only, so the tails are cut off: most of the mass is inside
         assert all(0.85 < r["area"] < 1.05 for r in d), (kind, d)
+
+
+def test_threshold_for_recall_hand_case(spark):
+    # sorted desc: 0.9(1) 0.8(0) 0.7(1) 0.6(1) 0.5(0); cumulative recall 0, 1/3, 1/3, 2/3, 1, 1
+    rows = [(1, 1, 0.9), (2, 0, 0.8), (3, 1, 0.7), (4, 1, 0.6), (5, 0, 0.5)]
+    df = spark.createDataFrame(rows, "k long, label int, score double")
+    g = M.cumulative_gains(df, ["k"])
+    got = {r["recall"]: r["threshold"] for r in M.threshold_for_recall(g, [50.0, 100.0]).collect()}
+    # 50 %: last i < n with 100*y_i < 50 is i = 2 -> threshold of row 3 = 0.7
+    # 100 %: last i < n with 100*y_i < 100 is i = 3 -> threshold of row 4 = 0.6
+    assert got == {50.0: 0.7, 100.0: 0.6}
+
+
+def test_density_split_interpolates(spark):
+    d = spark.createDataFrame([(0, i, float(i), float(i * i)) for i in range(4)],
+                              "label int, i int, x double, density double")
+    out = {(r["side"], r["seq"]): (r["x"], r["y"]) for r in M.density_split(d, 1.5, ["label"]).collect()}
+    assert out[("below", 2)] == (1.5, 2.5) and out[("above", 2)] == (1.5, 2.5)   # between (1,1) and (2,4)
+    assert out[("below", 0)] == (0.0, 0.0) and out[("above", 3)] == (2.0, 4.0)
