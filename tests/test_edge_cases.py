@@ -122,3 +122,20 @@ def test_learning_proportions_and_holdout_allocation(spark):
     got = {(r["split"], r["label"]): r["count"] for r in s}
     assert got[("test", 0)] + got[("test", 1)] == 14
     assert got[("train", 1)] == 8 and got[("train", 0)] == 18   # 26*12/40 = 7.8 -> 8, 26*28/40 = 18.2 -> 18
+
+
+def test_svc_conditional_parameters(spark):
+    trials = spark.range(200).select(F.lit("s").alias("study"), F.lit("SVC").alias("model"),
+                                     F.col("id").cast("int").alias("trial"))
+    act = H.active_params(H.draw_candidates(trials, H.default_ranges(spark)), H.dependencies(spark)).collect()
+    by = {}
+    for r in act:
+        by.setdefault(r["trial"], {})[r["param"]] = r["value_str"]
+    kernels = set()
+    for t, p in by.items():
+        k = p["kernel"]
+        kernels.add(k)
+        assert ("gamma" in p) == (k in ("rbf", "sigmoid"))
+        assert ("coef0" in p) == (k == "sigmoid")
+        assert "degree" not in p                     # poly is not among the default choices
+    assert kernels == {"linear", "rbf", "sigmoid"}
