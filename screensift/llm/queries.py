@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screensift.llm import decontam, line_dedup, mixing, simhash
+from screensift.llm import cws, decontam, langid, line_dedup, mixing, secret_scan, simhash
 from screensift.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,19 @@ def _register(name: str, sql: str | None = None):
     return add
 
 
+@_register("op2_secret_scan")
+def op2_secret_scan(spark, sf_dir):
+    """Owner: the source; repository: the source's documents of one language."""
+    docs = table(spark, sf_dir, "documents")
+    secrets = F.col("secrets")
+    base = F.filter(secrets, lambda s: s["kind"] < 3)
+    found = secret_scan.scan_secrets(docs, repository=F.concat_ws("/", "source", "lang"))
+    return found.select(
+        "doc_id", *[secret_scan.count_kind(secrets, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"), secret_scan.spans_text(secrets).alias("spans"),
+        *[secret_scan.count_verdict(secrets, v).alias(f"n_{v}") for v in ("live", "shared", "example")])
+
+
 @_register("op3_line_dedup", f"""
 WITH lines AS (
   SELECT doc_id, source, pos, line, trim(regexp_replace(lower(line), '[ \\t\\x0B\\f\\r]+', ' ', 'g')) AS norm
@@ -47,6 +60,14 @@ def op3_line_dedup(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", "text")
 
 
+@_register("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = langid.train(docs.where(~held_out), key=F.col("doc_id"))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 @_register("op7_simhash")
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -111,3 +132,8 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM timed
 """)
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@_register("op10_fingerprints")
+def op10_fingerprints(spark, sf_dir):
+    return cws.fingerprints(table(spark, sf_dir, "documents"))
