@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screensift.llm import cws, decontam, langid, line_dedup, mixing, secret_scan, simhash
+from screensift.llm import cws, decontam, langid, line_dedup, mixing, secret_scan, simhash, toxicity, warc
 from screensift.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,12 @@ def op3_line_dedup(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", "text")
 
 
+@_register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).drop("text").withColumnRenamed("rejected", "toxic")
+
+
 @_register("op5_language_id")
 def op5_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -68,6 +74,25 @@ def op5_language_id(spark, sf_dir):
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+@_register("op6_warc", f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS response FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {warc.MIN_DEDUP_BYTES} AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {warc.MIN_DEDUP_BYTES} AND page_id <> response THEN response END AS refers_to
+FROM m
+""")
+def op6_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.archive_pages(spark, pages)
+    wanted = pages.select(warc.url_key_column(F.col("url")).alias("url_key"))
+    records = warc.read_records(archive.folder, warc.lookup(archive, wanted))
+    return records.select(F.expr("try_cast(id AS bigint)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 @_register("op7_simhash")
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
