@@ -3,6 +3,7 @@
 import hashlib
 import math
 
+import pandas as pd
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
@@ -14,11 +15,11 @@ SLOW = {"learning_curve_bands", "threshold_report", "cv_metrics_from_scores", "d
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return "NULL"
     if isinstance(v, float):
-        if math.isnan(v):
-            return "NaN"
+        if math.isnan(v):  # pandas shows a NULL in a number column as NaN
+            return "NULL"
         if math.isinf(v):
             return "inf" if v > 0 else "-inf"
         return repr(round(v + 0.0, 6))
