@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screensift.llm import cws, decontam, langid, line_dedup, mixing, secret_scan, simhash, toxicity, warc
+import corpus_pipeline
+from screensift.llm import cws, decontam, langid, license_scan, line_dedup, mixing, secret_scan, simhash, toxicity, warc
 from screensift.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,15 @@ def _register(name: str, sql: str | None = None):
     return add
 
 
+@_register("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    """Documents as files of a tree: source / language / hundred of ids; every third id one or two levels up."""
+    level = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3))
+    path = F.concat_ws("/", "source", F.when(level > 0, F.col("lang")), F.when(level > 1, F.expr("CAST(doc_id div 100 AS STRING)")),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
 @_register("op2_secret_scan")
 def op2_secret_scan(spark, sf_dir):
     """Owner: the source; repository: the source's documents of one language."""
@@ -162,3 +172,8 @@ def op9_mixing(spark, sf_dir):
 @_register("op10_fingerprints")
 def op10_fingerprints(spark, sf_dir):
     return cws.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
