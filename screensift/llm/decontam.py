@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -232,8 +233,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
                   **columns) -> DataFrame:
     """Input columns plus n_words, n_hit, items (sorted ids) and contaminated, one row per input row."""
     seen = scanned(docs, benchmark, window=window, **columns).withColumn("n_hit", _n_hit())
-    return unpacked(seen, "n_words", "n_hit", "items",
-                    ((F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    over = (F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))
+    return unpacked(seen, n_words=F.col("n_words"), n_hit=F.col("n_hit"), items=F.col("items"), contaminated=over)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,
@@ -257,8 +258,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                     at = places[e - 1][1]
                 t = "".join([*parts, t[at:]])
             out.append(t)
-        import pandas as pd
-
         return pd.Series(out)
 
     clean = kept.withColumn("text", F.when(F.col("n_hit") == 0, F.col(f"row.`{text_col}`")).otherwise(

@@ -35,8 +35,11 @@ def packed(df: DataFrame, **extra: Column) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in extra.items()])
 
 
-def unpacked(df: DataFrame, *extra: Column) -> DataFrame:
-    return df.select("row.*", *extra)
+def unpacked(df: DataFrame, **extra: Column) -> DataFrame:
+    """The input row again, plus columns of the operator; these take the place of input columns of their name."""
+    taken = {n.lower() for n in extra}
+    own = [F.col(f"row.`{f.name}`") for f in df.schema["row"].dataType.fields if f.name.lower() not in taken]
+    return df.select(*own, *[c.alias(n) for n, c in extra.items()])
 
 
 def text_of(name: str = "text") -> Column:

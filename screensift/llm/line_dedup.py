@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screensift.llm.frames import packed, text_of
+from screensift.llm.frames import packed, text_of, unpacked
 
 #: A line on more than this share of a host's pages is boilerplate, from so many pages of the host on.
 MAX_RATIO, MIN_PAGES = 0.01, 3
@@ -66,5 +66,6 @@ def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(
             F.length(text).cast(docs.schema["n_chars"].dataType))
-    extra = [n_lines.alias("n_lines"), F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.size(split) - F.size("kept")).cast("bigint").alias("n_dropped")]
-    return out.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns], *(extra if counts else []))
+    out = out.withColumn("n_dropped", F.when(F.col("kept").isNull(), F.lit(0)).otherwise(F.size(split) - F.size("kept")).cast("bigint"))
+    extra = {"n_lines": n_lines, "n_dropped": F.col("n_dropped")} if counts else {}
+    return unpacked(out.withColumn("row", F.struct(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])), **extra)

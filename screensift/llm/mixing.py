@@ -125,4 +125,4 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     slim = materialise(docs.select(F.col(f"`{id_col}`").alias("id"), *[c.alias(n) for n, c in own.items()]), "sizes")
     full = _mixed(packed(docs, **own), slim.drop("id"), weights, share, most)
     copies = full.withColumn("copy", F.explode("taken"))
-    return unpacked(copies, F.col("copy.epoch").alias("mix_epoch"), F.col("copy.finish").alias("mix_time"))
+    return unpacked(copies, mix_epoch=F.col("copy.epoch"), mix_time=F.col("copy.finish"))

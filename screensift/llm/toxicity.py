@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from screensift.llm.frames import chunks, materialise, packed, text_of
+from screensift.llm.frames import chunks, materialise, packed, text_of, unpacked
 
 #: Labelled rows that train the chain (about; all, if there are fewer), and words it may use.
 MAX_TRAIN, MAX_WORDS = 20_000, 1024
@@ -261,7 +261,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = train(docs, labels, chain, id_col, text_col)
     out = scored(packed(docs, text=text_of(f"`{text_col}`")), model)
     p = {c: F.col("p")[j] for j, c in enumerate(model.categories)}
-    return out.select("row.*", *[v.alias(f"p_{c}") for c, v in p.items()], (p[reject] >= threshold).alias("rejected"))
+    return unpacked(out, **{f"p_{c}": v for c, v in p.items()}, rejected=p[reject] >= threshold)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
