@@ -102,7 +102,10 @@ def prefix_scan(
         cols.append(F.max(f"_bm_{c}").over(before).alias(f"_om_{c}"))
     summary = summary.select(*cols)
 
-    out = local.join(summary, on=keys, how="inner")
+    # null-safe: rows of a NULL group, or of a NULL bucket (NULL order value), meet their own summary
+    renamed = summary.withColumnsRenamed({k: f"_k_{i}" for i, k in enumerate(keys)})
+    same = [local[k].eqNullSafe(renamed[f"_k_{i}"]) for i, k in enumerate(keys)]
+    out = local.join(renamed, on=same, how="inner").drop(*[f"_k_{i}" for i in range(len(keys))])
     out = out.withColumn("_idx", F.col("_rn") + F.col("_on"))
     for c in sums:
         out = out.withColumn(f"{c}_cum", F.col(f"_lc_{c}") + F.col(f"_oc_{c}"))

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Sequence
 from functools import lru_cache
 
 import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,15 +209,30 @@ def _value_text(num: Column, s: Column) -> Column:
     return F.coalesce(s, num.cast("string"))
 
 
-def active_params(candidates: DataFrame, deps: DataFrame, max_depth: int = 3) -> DataFrame:
+def chain_depth(pairs: Sequence[tuple]) -> int:
+    """Longest dependency chain of (model, param, parent) rows; raises on a cycle."""
+    level: dict[tuple, int] = {}
+    for _ in range(len(pairs) + 1):
+        raised = False
+        for model, param, parent in pairs:
+            need = level.get((model, parent), 0) + 1
+            if level.get((model, param), 0) < need:
+                level[(model, param)], raised = need, True
+        if not raised:
+            return max(level.values(), default=0)
+    raise ValueError("parameter dependencies form a cycle")
+
+
+def active_params(candidates: DataFrame, deps: DataFrame) -> DataFrame:
     """H3: keep a parameter only if every parent is kept and holds an allowed value.
 
-    A parent that is absent drops the child. Dependency chains are at most
-    ``max_depth`` deep, so ``max_depth`` passes reach the fixpoint.
+    A parent that is absent drops the child. As many passes as the longest
+    dependency chain reach the fixpoint; a cycle is an error.
     """
     d = F.broadcast(deps)  # bounded: fixed list per model
     active = candidates
-    for _ in range(max_depth):
+    pairs = [(r.model, r.param, r.parent) for r in deps.select("model", "param", "parent").collect()]
+    for _ in range(chain_depth(pairs)):
         parents = active.select("study", "trial", F.col("param").alias("parent"),
                                 F.col("value_str").alias("parent_value"))
         req = active.select("study", "model", "trial", "param").join(d, ["model", "param"])

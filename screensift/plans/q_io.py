@@ -68,7 +68,7 @@ def q_artifacts_roundtrip(spark, sf):
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     f = fx.prepare(spark, sf)
-    model, _ = md.fit(f.labelled, "xgboost", {"booster": "gblinear", "n_estimators": 20}, n_rows=1000)
+    model, _ = md.fit(f.labelled, "xgboost", {"booster": "gblinear", "n_estimators": 20}, n_rows=f.labelled.count())
     pipe = PipelineModel(stages=list(f.vectorizer.stages) + [model])
     path = scratch_path(spark, "model")
     io.save_model(pipe, path)

@@ -79,7 +79,7 @@ def q_fit_svc_rbf(spark, sf):
 @register("score_rows")
 def q_score_rows(spark, sf):
     f = fx.prepare(spark, sf)
-    model, _ = md.fit(f.labelled, "xgboost", {"booster": "gblinear", "n_estimators": 50}, n_rows=1000)
+    model, _ = md.fit(f.labelled, "xgboost", {"booster": "gblinear", "n_estimators": 50}, n_rows=f.labelled.count())
     return md.raw_threshold_predict(model, f.unlabelled, 0.0).select("doc_id", "score", "pred")
 
 

@@ -12,7 +12,7 @@ from screensift.plans import sql_text as S
 from screensift.plans.registry import register
 from screensift.sources import tables as tb
 
-VOCAB_CAP = 2000  # small cap used by the vocabulary/idf keys so that T13 bites at sf0.01
+VOCAB_CAP = tf.TfidfOptions().max_features  # the default cap on the vocabulary
 R = lambda c: F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 

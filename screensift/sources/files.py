@@ -26,18 +26,18 @@ def _na_to_null(col: str):
     return F.when(c.isin(*NA_STRINGS), F.lit(None)).otherwise(c)
 
 
-def read_tsv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, columns: dict[str, str], part: int = 0) -> DataFrame:
     """Read a TSV with header, keep and rename ``columns`` {header: name}; every field is text.
 
     Rows get a doc_id from their position in the input splits (stable for a
-    given input; the reference aligns rows by position too).
+    given input), counted from 2^52 times ``part``, so that inputs read as different parts share no ids.
     """
     df = spark.read.options(**TSV_OPTIONS).csv(path)
     missing = [h for h in columns if h not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing} in {path}")
     out = df.select(*[_na_to_null(h).alias(n) for h, n in columns.items()])
-    return out.withColumn("doc_id", F.monotonically_increasing_id()).select("doc_id", *columns.values())
+    return out.withColumn("doc_id", F.monotonically_increasing_id() + F.lit(part << 52)).select("doc_id", *columns.values())
 
 
 def read_labelled(spark: SparkSession, path: str, title_header: str = "title",
@@ -52,7 +52,7 @@ def read_unlabelled(spark: SparkSession, path: str, title_header: str = "title",
     if path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(path)
         return df.select("doc_id", F.col(title_header).alias("title"), F.col(abstract_header).alias("abstract"))
-    return read_tsv(spark, path, {title_header: "title", abstract_header: "abstract"})
+    return read_tsv(spark, path, {title_header: "title", abstract_header: "abstract"}, part=1)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
