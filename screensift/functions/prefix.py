@@ -8,35 +8,70 @@ the totals of all earlier buckets from a small per-bucket summary.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def default_buckets(df: DataFrame, per_partition: int = 4, minimum: int = 16) -> int:
+    """Buckets for a scan of ``df``: a few per shuffle partition, so they grow with the cluster."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(minimum, per_partition * parts)
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int, descending: bool = False) -> Column:
-    """Bucket id monotone in ``col``: number of approximate quantile bounds below it.
+#: Rows sampled per bucket to place the bounds; more rows only even the buckets out.
+SAMPLE_PER_BUCKET = 32
 
-    The bounds come from a scalar subquery (distributed partial aggregation), so
-    the plan stays lazy; equal values always share a bucket.
+
+def sorted_bounds(df: DataFrame, col: str, n_buckets: int, by: Sequence[str] = ()) -> Column:
+    """About ``n_buckets - 1`` increasing bounds of ``col`` as a scalar subquery.
+
+    The bounds are every k-th value of a sample of about
+    ``SAMPLE_PER_BUCKET * n_buckets`` rows, taken by the hash of ``by`` (the
+    columns that tell rows apart; default ``col``). The sample decides only where
+    buckets end; every row is placed. Its size follows the bucket count, not the
+    rows, so the one task that sorts it stays small at any input size.
+    """
+    keys = list(dict.fromkeys([*by, col]))
+    values = df.select(*keys).filter(F.col(col).isNotNull())
+    size = values.select(F.count(F.lit(1))).scalar()
+    every = F.greatest(F.lit(1).cast("bigint"), F.floor(size / F.lit(SAMPLE_PER_BUCKET * n_buckets)))
+    sample = values.filter(F.pmod(F.xxhash64(*keys), every) == 0)
+    step = F.greatest(F.lit(1), F.floor(F.size("s") / F.lit(n_buckets)))
+    return sample.select(F.sort_array(F.collect_set(col)).alias("s")).select(
+        F.filter("s", lambda x, i: F.pmod(i + 1, step) == 0).alias("b")).scalar()
+
+
+def quantile_bucket(df: DataFrame, col: str, n_buckets: int, descending: bool = False,
+                    by: Sequence[str] = ()) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``_bk``, monotone in ``col``: the number of sampled bounds
+    of ``df`` below a row's value, found by bisection.
+
+    A row takes about log2(n_buckets) comparisons whatever the bucket count.
+    Equal values always share a bucket; NULL has the NULL bucket.
     """
-    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    x = F.col(col).cast("double")
-    bounds = df.select(
-        F.percentile_approx(F.col(col).cast("double"), probs, 10 * n_buckets).alias("b")
-    ).scalar()
-    pos = F.array_position(F.sort_array(F.array_union(bounds, F.array(x))), x)
-    return -pos if descending else pos
+    bounds = sorted_bounds(df, col, n_buckets, by)
+    # the sample's size varies, so there may be up to twice as many bounds as asked for
+    steps = [1 << e for e in reversed(range((4 * n_buckets).bit_length()))]
+    x = F.col(col)
+    pos = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, s: F.when(F.get("_bounds", at + s - 1) < x, at + s).otherwise(at))
+    if descending:
+        pos = -pos
+        if dict(df.dtypes)[col] in ("double", "float"):
+            pos = F.when(F.isnan(col), F.lit(1)).otherwise(pos)  # -NaN still sorts last
+
+    def add(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bounds", bounds).withColumn("_bk", F.when(x.isNotNull(), pos)).drop("_bounds")
+
+    return add
 
 
-def hex_bucket(hex_col: Column, digits: int = 3) -> Column:
-    """Bucket by the leading hex digits of a hash; uniform without sampling."""
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("int")
+def hex_bucket(hex_col: Column, n_buckets: int) -> Column:
+    """Bucket by the leading 24 bits of a hash in hex; uniform without sampling."""
+    return F.floor(F.conv(F.substring(hex_col, 1, 6), 16, 10).cast("bigint") * n_buckets / (1 << 24)).cast("int")
 
 
 def prefix_scan(
@@ -130,8 +165,9 @@ def prefix_scan(
 
 
 def global_rank(df: DataFrame, partition_by: Sequence[str], order_key: Column,
-                bucket: Column) -> DataFrame:
+                bucket: Column | Callable[[DataFrame], DataFrame]) -> DataFrame:
     """1-based row number by ``order_key`` within ``partition_by`` (adds ``_idx``, ``_n``)."""
-    tmp = df.withColumn("_bk", bucket).withColumn("_one", F.lit(1))
+    tmp = df.withColumn("_bk", bucket) if isinstance(bucket, Column) else bucket(df)
+    tmp = tmp.withColumn("_one", F.lit(1))
     return prefix_scan(tmp, partition_by, "_bk", order_key, ["_one"]).drop(
         "_bk", "_one", "_one_cum", "_one_total")

@@ -36,7 +36,7 @@ def cumulative_counts(scores: DataFrame, groups: Sequence[str] = (), neighbours:
     """Distinct scores in descending order with running tps / fps and totals P / N."""
     sc = score_counts(scores, groups)
     nb = n_buckets or default_buckets(sc)
-    sc = sc.withColumn("_bk", quantile_bucket(sc, "score", nb, descending=True))
+    sc = quantile_bucket(sc, "score", nb, descending=True, by=groups)(sc)
     out = prefix_scan(sc, list(groups), "_bk", -F.col("score"), ["pos", "neg"], neighbours)
     out = out.withColumnRenamed("pos_cum", "tps").withColumnRenamed("neg_cum", "fps")
     out = out.withColumnRenamed("pos_total", "P").withColumnRenamed("neg_total", "N")
@@ -192,7 +192,7 @@ def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], groups: Sequenc
     """Linear-interpolated quantiles from a (groups..., v, c) table of value counts."""
     g = list(groups)
     nb = n_buckets or default_buckets(vc)
-    vc = vc.withColumn("_bk", quantile_bucket(vc, "v", nb))
+    vc = quantile_bucket(vc, "v", nb, by=g)(vc)
     ranked = prefix_scan(vc, g, "_bk", F.col("v"), ["c"])  # c_cum, c_total
     first = F.col("c_cum") - F.col("c")  # 0-based rank of the first copy
     ps = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
@@ -358,7 +358,8 @@ def cumulative_gains(scores: DataFrame, key_cols: Sequence[str], n_buckets: int
     cc = cumulative_counts(scores, (), n_buckets=n_buckets).select(
         "score", "pos", "neg", "tps", "fps", "P", "N")
     base = scores.select("label", "score", gains_order_hash(key_cols).alias("h"))
-    ranked = global_rank(base, ["score", "label"], F.col("h"), hex_bucket(F.col("h"), 2))
+    ranked = global_rank(base, ["score", "label"], F.col("h"),
+                         hex_bucket(F.col("h"), n_buckets or default_buckets(base)))
     j = ranked.join(cc, "score")
     before = F.col("tps") + F.col("fps") - F.col("pos") - F.col("neg")
     is_pos = F.col("label") == 1

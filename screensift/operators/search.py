@@ -273,7 +273,7 @@ def _scan_trials(obj: DataFrame) -> DataFrame:
     """Running best per study in trial order: (objective, -trial) maximum."""
     x = obj.withColumn("_key", F.struct(F.col("objective"), (-F.col("trial")).alias("neg_trial")))
     nb = default_buckets(x)
-    x = x.withColumn("_bk", quantile_bucket(x, "trial", nb))
+    x = quantile_bucket(x, "trial", nb, by=["study"])(x)
     x = x.withColumn("_z", F.lit(0))
     out = prefix_scan(x, ["study"], "_bk", F.col("trial"), ["_z"], maxes=["_key"])
     return out.drop("_bk", "_z", "_z_cum", "_z_total")
@@ -407,7 +407,7 @@ def stop_rules(trials: DataFrame, obj: DataFrame, max_trials: int | None, max_st
     if max_trials is not None and max_trials > 0:
         counted = trials.filter(F.col("state").isin("COMPLETE", "PRUNED"))
         nb = default_buckets(counted)
-        c = counted.withColumn("_bk", quantile_bucket(counted, "trial", nb)).withColumn("_one", F.lit(1))
+        c = quantile_bucket(counted, "trial", nb, by=["study"])(counted).withColumn("_one", F.lit(1))
         r = prefix_scan(c, ["study"], "_bk", F.col("trial"), ["_one"])
         out.append(r.filter(F.col("_one_cum") == max_trials).select(
             "study", F.lit("max_trials").alias("rule"), F.col("trial").alias("stop_trial")))
@@ -490,7 +490,7 @@ def search_slice(candidates: DataFrame, obj: DataFrame) -> DataFrame:
     """
     dc = obj.groupBy("study", "objective").agg(F.count(F.lit(1)).alias("c"))
     nb = default_buckets(dc)
-    dc = dc.withColumn("_bk", quantile_bucket(dc, "objective", nb))
+    dc = quantile_bucket(dc, "objective", nb, by=["study"])(dc)
     r = prefix_scan(dc, ["study"], "_bk", F.col("objective"), ["c"])
     avg_rank = (F.col("c_cum") - F.col("c") + 1) + (F.col("c") - 1) / 2.0
     ranks = r.select("study", "objective", (F.floor(avg_rank) - 1).cast("int").alias("colour_rank"))

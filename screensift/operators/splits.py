@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screensift.functions.hashing import seeded_hash
-from screensift.functions.prefix import global_rank, hex_bucket
+from screensift.functions.prefix import default_buckets, global_rank, hex_bucket
 
 LEARNING_PROPORTIONS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 MIN_CLASS_FOR_SMALL_PROPORTIONS = 13
@@ -24,7 +24,8 @@ MIN_CLASS_FOR_SMALL_PROPORTIONS = 13
 def _rank_in_class(df: DataFrame, seed: Column, partition_by: Sequence[str]) -> DataFrame:
     h = seeded_hash(seed, F.col("doc_id"))
     x = df.withColumn("_h", h)
-    r = global_rank(x, list(partition_by), F.struct(F.col("_h"), F.col("doc_id")), hex_bucket(F.col("_h"), 3))
+    r = global_rank(x, list(partition_by), F.struct(F.col("_h"), F.col("doc_id")),
+                    hex_bucket(F.col("_h"), default_buckets(x)))
     return r.withColumnRenamed("_idx", "rank_in_class").drop("_h", "_n")
 
 

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screensift.functions.prefix import global_rank, quantile_bucket
+from screensift.functions.prefix import default_buckets, global_rank, quantile_bucket
 from screensift.functions import text as tx
 from screensift.session import checkpoint
 from screensift.operators import text as tt
@@ -95,10 +95,11 @@ def fit_vocabulary(tc: DataFrame, n_docs: Column, opts: TfidfOptions = TfidfOpti
         vocab = top.withColumn("term_idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
     else:
         if opts.max_features is not None:
-            bucket = quantile_bucket(kept, "tf", 64, descending=True)
+            bucket = quantile_bucket(kept, "tf", default_buckets(kept), descending=True, by=["term"])
             ranked = global_rank(kept, [], F.struct(-F.col("tf"), F.col("term")), bucket)
             kept = ranked.filter(F.col("_idx") <= opts.max_features).drop("_idx", "_n")
-        vocab = global_rank(kept, [], F.col("term"), F.substring("term", 1, 4)).withColumn(
+        bucket = quantile_bucket(kept, "term", default_buckets(kept))
+        vocab = global_rank(kept, [], F.col("term"), bucket).withColumn(
             "term_idx", (F.col("_idx") - 1).cast("int")).drop("_idx", "_n")
     return vocab.select(
         "term_idx", "term", F.col("tf").cast("bigint").alias("tf"), F.col("df").cast("bigint").alias("df"),

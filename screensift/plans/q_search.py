@@ -45,7 +45,7 @@ def trials(spark, sf):
     x = docs.withColumn("model", F.explode(F.array(*[F.lit(m) for m in MODELS])))
     x = x.withColumn("study", F.concat_ws("/", "model", "source"))
     nb = default_buckets(x)
-    r = global_rank(x, ["study"], F.col("doc_id"), quantile_bucket(x, "doc_id", nb))
+    r = global_rank(x, ["study"], F.col("doc_id"), quantile_bucket(x, "doc_id", nb, by=["study"]))
     t = r.select("study", "model", (F.col("_idx") - 1).cast("int").alias("trial"))
     started = F.lit(T0) + F.col("trial") * 10.0 + F.floor(uniform(F.col("study"), F.col("trial"), "start") * 5)
     dur = 1.0 + F.floor(uniform(F.col("study"), F.col("trial"), "dur") * 20)

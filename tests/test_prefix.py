@@ -1,6 +1,7 @@
 """The bucketed prefix scan equals a plain window, whatever the bucketing."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -41,3 +42,36 @@ def test_global_rank_quantile_buckets(spark):
     w = Window.partitionBy("g").orderBy("v")
     want = df.select("g", "v", F.row_number().over(w).alias("rn"))
     assert r.join(want, ["g", "v"]).filter(F.col("_idx") != F.col("rn")).count() == 0
+
+
+def test_bounds_of_text_and_missing_values(spark):
+    rows = [(f"t_{(i * 7919) % 400:04d}" if i % 10 else None,) for i in range(400)]
+    df = spark.createDataFrame(rows, "v string")
+    got = quantile_bucket(df, "v", 8)(df).orderBy("v").collect()
+    filled = [r._bk for r in got if r.v is not None]
+    assert filled == sorted(filled) and 6 <= len(set(filled)) <= 20
+    assert {r._bk for r in got if r.v is None} == {None}
+    empty = df.filter("v = 'none'")
+    assert quantile_bucket(empty, "v", 8)(empty).collect() == []
+
+
+def test_not_a_number_sorts_last_both_ways(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (2.0,)], "v double")
+    up = quantile_bucket(df, "v", 4)(df).collect()
+    down = quantile_bucket(df, "v", 4, descending=True)(df).collect()
+    for rows in (up, down):
+        assert max(rows, key=lambda r: r._bk).v != max(r.v for r in rows if r.v == r.v)
+
+
+def test_cost_does_not_follow_the_bucket_count(spark):
+    from screensift.operators import metrics as M
+
+    sc = spark.range(60_000).select((F.xxhash64("id") / F.lit(2.0 ** 63)).alias("score"),
+                                    (F.col("id") % 3 == 0).cast("int").alias("label"))
+    auc, took = {}, {}
+    for n in (32, 32, 4000):  # the first run warms up
+        t = time.time()
+        auc[n] = M.roc_auc(sc, n_buckets=n).first()["auc"]
+        took[n] = time.time() - t
+    assert abs(auc[32] - auc[4000]) < 1e-12
+    assert took[4000] < 3 * took[32] + 2
