@@ -30,6 +30,7 @@ from screensift.functions.hashing import uniform
 from screensift.operators import tfidf as tf
 
 MAX_TREE_DEPTH = 30  # Spark ML limit
+MAX_SVC_ITERATIONS = 1000  # for an SVC asked to run without a limit
 #: Model names a job may ask for, and the estimator family behind each.
 FAMILIES = {"xgboost": "boosted trees or linear booster", "lightgbm": "boosted trees",
             "RandomForestClassifier": "forest", "SVC": "support vectors"}
@@ -58,15 +59,20 @@ def vectorizer(vocab: DataFrame, opts: tf.TfidfOptions = tf.TfidfOptions()) -> P
     return PipelineModel(stages=[cv, ep, norm])
 
 
-def with_terms(records: DataFrame, opts: tf.TfidfOptions = tf.TfidfOptions()) -> DataFrame:
-    """(doc_id, terms ARRAY): every n-gram occurrence of each document, in-row."""
-    w = tf.words(records, opts)
+def with_terms(records: DataFrame, opts: tf.TfidfOptions = tf.TfidfOptions(),
+               lemmas: DataFrame | None = None) -> DataFrame:
+    """(doc_id, terms ARRAY): every n-gram occurrence of each document, in-row.
+
+    ``lemmas`` must be the table the vocabulary was fitted with, if any.
+    """
+    w = tf.words(records, opts, lemmas)
     return w.select("doc_id", tx.ngram_col(F.col("words"), opts.ngram_min, opts.ngram_max).alias("terms"))
 
 
-def featurize(records: DataFrame, model: PipelineModel, opts: tf.TfidfOptions = tf.TfidfOptions()) -> DataFrame:
-    """(doc_id, features VECTOR) for any records, narrow transform."""
-    return model.transform(with_terms(records, opts)).select("doc_id", "features")
+def featurize(records: DataFrame, model: PipelineModel, opts: tf.TfidfOptions = tf.TfidfOptions(),
+              lemmas: DataFrame | None = None) -> DataFrame:
+    """(doc_id, features VECTOR) for any records; narrow unless words are lemmatised."""
+    return model.transform(with_terms(records, opts, lemmas)).select("doc_id", "features")
 
 
 # ---- estimator factory ---------------------------------------------------------------
@@ -83,17 +89,37 @@ def _num(params: Mapping, key: str, default):
     return default if v is None else v
 
 
-def make_estimator(model_name: str, params: Mapping | None = None, n_rows: int | None = None,
+def effective_params(model_name: str, params: Mapping | None) -> dict:
+    """The parameters as Spark ML will use them; trial tables record these.
+
+    Depths beyond the library's limit, and no limit at all (0, negative, NULL for a
+    forest), become the limit; an SVC without an iteration limit gets MAX_SVC_ITERATIONS.
+    """
+    p = dict(params or {})
+    if model_name in ("lightgbm", "xgboost") and p.get("max_depth") is not None:
+        depth = int(p["max_depth"])
+        p["max_depth"] = depth if 0 < depth <= MAX_TREE_DEPTH else MAX_TREE_DEPTH
+    if model_name == "RandomForestClassifier":
+        depth = p.get("max_depth")
+        p["max_depth"] = MAX_TREE_DEPTH if depth is None else min(MAX_TREE_DEPTH, int(depth))
+    if model_name == "SVC" and p.get("max_iter") is not None and int(p["max_iter"]) <= 0:
+        p["max_iter"] = MAX_SVC_ITERATIONS
+    return p
+
+
+def make_estimator(model_name: str, params: Mapping | None = None, weight_sum: float | None = None,
                    weight_col: str | None = "weight", features_col: str = "features",
                    label_col: str = "label_d"):
     """M1: model name + reference-style parameters -> Spark ML estimator.
 
     Returns (estimator, ignored parameter names). Parameters with no Spark ML
-    counterpart are reported, not silently dropped.
+    counterpart are reported, not silently dropped. ``weight_sum`` is the sum of
+    the training rows' weights: the SVC's C multiplies a sum of losses, Spark's
+    penalty goes with their weighted mean.
     """
     if model_name not in FAMILIES:
         raise UnknownModel(f"no estimator for {model_name!r}; known: {', '.join(sorted(FAMILIES))}")
-    p = dict(params or {})
+    p = effective_params(model_name, params)
     common = dict(featuresCol=features_col, labelCol=label_col)
     if weight_col:
         common["weightCol"] = weight_col
@@ -104,10 +130,9 @@ def make_estimator(model_name: str, params: Mapping | None = None, n_rows: int |
         return _num(p, key, default)
 
     if model_name == "lightgbm":
-        depth = int(take("max_depth", 5))
         est = GBTClassifier(
             maxIter=int(take("num_iterations", 100)),
-            maxDepth=min(MAX_TREE_DEPTH, depth if depth > 0 else 5),
+            maxDepth=int(take("max_depth", 5)),
             stepSize=float(take("learning_rate", 0.1)),
             minInstancesPerNode=int(take("min_data_in_leaf", 1)),
             minInfoGain=float(take("min_gain_to_split", 0.0)),
@@ -116,18 +141,17 @@ def make_estimator(model_name: str, params: Mapping | None = None, n_rows: int |
     elif model_name == "xgboost":
         booster = take("booster", "gbtree")
         if booster == "gblinear":
-            lam, alpha = float(take("reg_lambda", 1.0)), float(take("reg_alpha", 0.0))
-            n = float(n_rows or 1)
-            reg = (lam + alpha) / n
+            # both libraries add the penalty to the weighted mean loss
+            lam, alpha = float(take("reg_lambda", 0.0)), float(take("reg_alpha", 0.0))
             est = LogisticRegression(
-                regParam=reg, elasticNetParam=(alpha / (lam + alpha)) if lam + alpha > 0 else 0.0,
+                regParam=lam + alpha, elasticNetParam=(alpha / (lam + alpha)) if lam + alpha > 0 else 0.0,
                 maxIter=int(take("n_estimators", 100)), standardization=False, **common)
         elif booster in ("gbtree", "dart"):
             if booster == "dart":
                 raise ValueError("dart booster has no Spark ML equivalent")
             est = GBTClassifier(
                 maxIter=int(take("n_estimators", 100)),
-                maxDepth=min(MAX_TREE_DEPTH, int(take("max_depth", 6))),
+                maxDepth=int(take("max_depth", 6)),
                 stepSize=float(take("learning_rate", 0.3)),
                 subsamplingRate=float(take("subsample", 1.0)),
                 minInfoGain=float(take("gamma", 0.0)),
@@ -135,10 +159,9 @@ def make_estimator(model_name: str, params: Mapping | None = None, n_rows: int |
         else:
             raise ValueError(f"unknown booster {booster}")
     elif model_name == "RandomForestClassifier":
-        depth = take("max_depth", None)
         est = RandomForestClassifier(
             numTrees=int(take("n_estimators", 100)),
-            maxDepth=MAX_TREE_DEPTH if depth is None else min(MAX_TREE_DEPTH, int(depth)),
+            maxDepth=int(take("max_depth", MAX_TREE_DEPTH)),
             featureSubsetStrategy=str(take("max_features", "sqrt")),
             impurity=str(take("criterion", "gini")),
             minInstancesPerNode=int(take("min_samples_leaf", 1)),
@@ -150,8 +173,8 @@ def make_estimator(model_name: str, params: Mapping | None = None, n_rows: int |
             raise ValueError(f"SVC kernel {kernel!r} is not supported on Spark (linear, rbf only)")
         c = float(take("C", 1.0))
         take("gamma", None)
-        est = LinearSVC(regParam=1.0 / (c * float(n_rows or 1)), tol=float(take("tol", 1e-3)),
-                        maxIter=int(take("max_iter", 100) if take("max_iter", 100) > 0 else 100),
+        est = LinearSVC(regParam=1.0 / (c * float(weight_sum or 1)), tol=float(take("tol", 1e-3)),
+                        maxIter=int(take("max_iter", 100)),
                         standardization=False, **common)
     ignored = tuple(sorted(k for k in p if k not in used))
     return est, ignored
@@ -185,16 +208,18 @@ def rff_features(matrix: DataFrame, docs: DataFrame, gamma: float, n_components:
 
 def fit(train: DataFrame, model_name: str, params: Mapping | None = None, n_rows: int | None = None,
         weight: float | None = None):
-    """Fit on (doc_id, features, label) with the positive class weighted n_neg/n_pos.
+    """Fit on ``n_rows`` rows of (doc_id, features, label); ``weight``, the positives', is n_neg / n_pos.
 
     Returns (fitted model, ignored parameter names).
     """
     df = train.withColumn("label_d", F.col("label").cast("double"))
-    wcol = None
+    wcol, weight_sum = None, n_rows
     if weight is not None:
+        # n_neg + weight * n_pos = 2 n_neg, and n_neg = n weight / (1 + weight)
+        weight_sum = 2.0 * n_rows * weight / (1.0 + weight) if n_rows else None
         df = df.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
         wcol = "weight"
-    est, ignored = make_estimator(model_name, params, n_rows, weight_col=wcol)
+    est, ignored = make_estimator(model_name, params, weight_sum, weight_col=wcol)
     return est.fit(df), ignored
 
 

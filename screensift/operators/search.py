@@ -206,7 +206,8 @@ def draw_candidates(trials: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def _value_text(num: Column, s: Column) -> Column:
-    return F.coalesce(s, num.cast("string"))
+    whole = F.when(F.col("suggest_type") == "int", num.cast("bigint").cast("string"))
+    return F.coalesce(s, whole, num.cast("string"))
 
 
 def chain_depth(pairs: Sequence[tuple]) -> int:
@@ -429,10 +430,12 @@ def stop_rules(trials: DataFrame, obj: DataFrame, max_trials: int | None, max_st
     return res.select("study", "rule", F.col("stop_trial").cast("int").alias("stop_trial"))
 
 
-def best_trial(obj: DataFrame) -> DataFrame:
-    """Best trial per study (highest objective, lowest trial on ties)."""
+def best_trial(obj: DataFrame, params: DataFrame | None = None) -> DataFrame:
+    """Best trial per study (highest objective, lowest trial on ties), with its
+    ``params`` map when a (study, trial, params) table is given."""
     b = obj.groupBy("study").agg(F.max(F.struct(F.col("objective"), (-F.col("trial")).alias("nt"))).alias("b"))
-    return b.select("study", (-F.col("b.nt")).cast("int").alias("trial"), F.col("b.objective").alias("objective"))
+    b = b.select("study", (-F.col("b.nt")).cast("int").alias("trial"), F.col("b.objective").alias("objective"))
+    return b if params is None else b.join(params.select("study", "trial", "params"), ["study", "trial"])
 
 
 def studies(trials: DataFrame, obj: DataFrame) -> DataFrame:

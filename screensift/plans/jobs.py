@@ -58,6 +58,7 @@ class FindModelOptions:
     learning_curve_proportions: tuple = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
     user_ranges: "object" = None       # DataFrame of range rows; replaces whole default entries (H1)
     lemmatize: bool = False            # T2: lemma table derived from the corpus by suffix rules
+    resume_search: bool = False        # go on with the study left under out_dir instead of deleting it
     parallelism: int = 2
     tfidf: "object" = None             # TfidfOptions
     extra: dict = field(default_factory=dict)
@@ -74,7 +75,7 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
 
     from screensift.operators import cv, explain as X, labels as lb, metrics as M, models as md
     from screensift.operators import search as H
-    from screensift.operators.search_loop import SearchOptions, run_search
+    from screensift.operators.search_loop import SearchOptions, delete_study, run_search
     from screensift.sources import files as io
 
     topts = opts.tfidf or tf.TfidfOptions()
@@ -82,24 +83,34 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
     lb.check_no_empty_rows(unlabelled)
     labels = lb.binarize(labelled.select("doc_id", "label"), "label", opts.positive)
     corpus = tf.with_part(labelled, unlabelled)
+    if corpus.select("doc_id").distinct().count() != corpus.count():
+        raise ValueError("doc_id must be unique over the labelled and unlabelled records")
     lemmas = None
     if opts.lemmatize:
         from screensift.operators import text as tt
         lemmas = tt.lemma_table(tt.tokens(corpus.drop("part"), topts.null_token))
+        io.write_parquet(lemmas, f"{out_dir}/lemmas")  # P3 needs the same table
+        lemmas = spark.read.parquet(f"{out_dir}/lemmas")
     res = tf.tfidf(corpus.drop("part"), topts, lemmas)
     vec = md.vectorizer(res.vocabulary, topts)
     from screensift.operators.models import featurize
-    feats = featurize(corpus.drop("part"), vec, topts).persist()
+    feats = featurize(corpus.drop("part"), vec, topts, lemmas).persist()
+    if feats.count() != corpus.count():
+        raise ValueError("featurisation lost or repeated records")
     lab = feats.join(labels, "doc_id")
     unl = feats.join(unlabelled.select("doc_id"), "doc_id", "left_semi")
     sopts = opts.search or SearchOptions(model_name=opts.model_name)
     ranges = H.default_ranges(spark)
     if opts.user_ranges is not None:
         ranges = H.merge_ranges(ranges, opts.user_ranges)
+    if not opts.resume_search:
+        delete_study(spark, f"{out_dir}/search", sopts.study)
     trials, scores = run_search(spark, lab, labels, ranges, sopts, f"{out_dir}/search")
-    best = H.best_trial(trials.filter(F.col("state") == "COMPLETE").select("study", "trial", "objective"))
-    best_row = best.join(trials, ["study", "trial"]).select("params").first()
-    params = {k: _num(v) for k, v in (best_row["params"] if best_row else {}).items()}
+    best = H.best_trial(trials.filter(F.col("state") == "COMPLETE").select("study", "trial", "objective"), trials)
+    best_row = best.first()
+    if best_row is None:
+        raise RuntimeError(f"no trial of study {sopts.study!r} completed")
+    params = {k: _num(v) for k, v in best_row["params"].items()}
     oof = cv.cv_scores(spark, lab, labels, opts.model_name, params, sopts.nfolds, 1, opts.parallelism)
     valid = oof.filter(F.col("split") == "valid")
     reports = {
@@ -143,8 +154,9 @@ def _num(v):
 
 def analyse_threshold(spark: SparkSession, features: DataFrame, labels: DataFrame, model_name: str,
                       params: dict, threshold: float, nfolds: int = 3, repeats: int = 100,
-                      parallelism: int = 2) -> dict[str, DataFrame]:
-    """Repeated-CV recall / FPR distributions and train / validation confusion at a threshold."""
+                      parallelism: int = 2, confusion_repeats: int = 1) -> dict[str, DataFrame]:
+    """Repeated-CV recall / FPR distributions, and train / validation confusion at a
+    threshold over the first ``confusion_repeats`` repeats."""
     from screensift.operators import cv, metrics as M
 
     sc = cv.cv_scores(spark, features, labels, model_name, params, nfolds, repeats, parallelism)
@@ -154,18 +166,21 @@ def analyse_threshold(spark: SparkSession, features: DataFrame, labels: DataFram
         "recall_histogram": M.histogram(m, "recall", 0.005),
         "fpr_histogram": M.histogram(m, "fpr", 0.005),
         "summary": threshold_report(sc, threshold),
-        "confusion": M.confusion(sc, threshold, ["split"]),
+        "confusion": M.confusion(sc.filter(F.col("repeat") < confusion_repeats), threshold, ["split"]),
     }
 
 
 def classify(spark: SparkSession, records: DataFrame, model_path: str, threshold: float, out_path: str,
-             opts=None) -> DataFrame:
-    """Score the unlabelled pool with a saved pipeline and write (doc_id, score, pred)."""
+             opts=None, lemmas: DataFrame | None = None) -> DataFrame:
+    """Score the unlabelled pool with a saved pipeline and write (doc_id, score, pred).
+
+    ``lemmas`` is the table that P1 wrote beside a lemmatised model.
+    """
     from screensift.operators import models as md
     from screensift.sources import files as io
 
     model = io.load_model(model_path)
-    terms = md.with_terms(records, opts or tf.TfidfOptions())
+    terms = md.with_terms(records, opts or tf.TfidfOptions(), lemmas)
     out = md.score(model, terms).withColumn("pred", (F.col("score") >= F.lit(float(threshold))).cast("int"))
     out = out.select("doc_id", "score", "pred")
     io.write_parquet(out, out_path)

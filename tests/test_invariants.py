@@ -73,6 +73,15 @@ def test_tree_shap_additivity(spark):
     assert err < 1e-9
 
 
+def test_forest_shap_additivity(spark):
+    f = fx.prepare(spark, SMOKE)
+    model, _ = md.fit(f.labelled, "RandomForestClassifier", {"n_estimators": 6, "max_depth": 4}, weight=None)
+    vec = tf.to_vector_arrays(f.tfidf.matrix, f.labels.select("doc_id"))
+    shap = X.shap_tree(spark, model, vec)
+    err = X.additivity(shap, md.score(model, f.labelled), X.tree_expected_value(spark, model))
+    assert err.first()["max_abs_error"] < 1e-9
+
+
 def test_recall_at_threshold_reaches_target(spark):
     sc = tb.proxy_scores(spark, SMOKE)
     t = M.threshold_for_tpr(sc, [0.9]).filter(F.col("variant") == "exact").first()["threshold"]

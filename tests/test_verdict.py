@@ -31,3 +31,66 @@ def test_ids_of_two_tsv_inputs_differ(spark):
     a = {r.doc_id for r in io.read_labelled(spark, path).collect()}
     b = {r.doc_id for r in io.read_unlabelled(spark, path).collect()}
     assert len(a) == len(b) == 2 and not a & b
+
+
+def test_trials_record_the_parameters_that_spark_uses():
+    from screensift.operators.models import effective_params
+
+    assert effective_params("lightgbm", {"max_depth": 55, "num_leaves": 4}) == {"max_depth": 30, "num_leaves": 4}
+    assert effective_params("lightgbm", {"max_depth": -1})["max_depth"] == 30
+    assert effective_params("RandomForestClassifier", {"max_depth": None})["max_depth"] == 30
+    assert effective_params("SVC", {"max_iter": -1, "C": 2.0}) == {"max_iter": 1000, "C": 2.0}
+    assert effective_params("xgboost", {"max_depth": 4}) == {"max_depth": 4}
+
+
+def test_penalties_follow_the_weighted_loss():
+    from screensift.operators.models import make_estimator
+
+    booster, _ = make_estimator("xgboost", {"booster": "gblinear", "reg_lambda": 0.3, "reg_alpha": 0.1}, 500.0)
+    assert booster.getRegParam() == pytest.approx(0.4) and booster.getElasticNetParam() == pytest.approx(0.25)
+    svc, _ = make_estimator("SVC", {"C": 2.0}, 500.0)
+    assert svc.getRegParam() == pytest.approx(0.001)
+
+
+def test_whole_numbers_stay_whole_in_trial_parameters(spark):
+    from screensift.operators import search as H
+
+    active = spark.createDataFrame(
+        [("s", "m", 0, "n", "int", 37.0, None), ("s", "m", 0, "x", "float", 0.5, None)],
+        "study string, model string, trial int, param string, suggest_type string, value_num double, value_str string")
+    fixed = spark.createDataFrame([], "model string, param string, value string")
+    got = {r.param: r.value for r in H.trial_params(active, fixed, F.lit(1.0)).collect()}
+    assert got == {"n": "37", "x": "0.5"}
+
+
+def test_search_over_restarts_failures_and_deletion(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from screensift.operators import search as H
+    from screensift.operators.search_loop import SearchOptions, delete_study, load_study, run_search
+    from screensift.session import scratch_path
+
+    rows = [(i, Vectors.dense([float(i % 2), float(i)]), i % 2) for i in range(24)]
+    feats = spark.createDataFrame([(r[0], r[1]) for r in rows], ["doc_id", "features"])
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+
+    def ranges(kernel):
+        return spark.createDataFrame([("SVC", "kernel", "singular", None, None, None, kernel, None),
+                                      ("SVC", "max_iter", "int", 3.0, 5.0, False, None, None)], H.RANGE_SCHEMA)
+
+    path = scratch_path(spark, "study-delete")
+    for study in ("a/b", "c"):
+        trials, scores = run_search(spark, feats, labels, ranges("linear"),
+                                    SearchOptions(study=study, model_name="SVC", n_trials=1), path)
+    trials, scores = run_search(spark, feats, labels, ranges("linear"),
+                                SearchOptions(study="a/b", model_name="SVC", n_trials=2), path)
+    assert sorted(r.trial for r in trials.collect()) == [0, 1]  # the earlier run's trial is there too
+    best = H.best_trial(trials.filter("state = 'COMPLETE'").select("study", "trial", "objective"), trials).first()
+    assert best.params["kernel"] == "linear" and best.params["max_iter"] in ("3", "4", "5")
+    delete_study(spark, path, "a/b")
+    assert load_study(spark, path, "a/b")[0].count() == 0 and load_study(spark, path, "c")[0].count() == 1
+    with pytest.raises(RuntimeError, match="in a row failed"):
+        run_search(spark, feats, labels, ranges("sigmoid"),
+                   SearchOptions(study="f", model_name="SVC", n_trials=2, max_failures_in_row=3), path)
+    failed = load_study(spark, path, "f")[0].collect()
+    assert {r.state for r in failed} == {"FAILED"} and all("sigmoid" in r.error for r in failed)
