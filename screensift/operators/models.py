@@ -8,7 +8,6 @@ with no join or shuffle; its output equals the long-form TF-IDF table.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -19,18 +18,19 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screensift.functions import text as tx
-from screensift.functions.hashing import uniform
+from screensift.functions.fourier import FourierMap, fourier_array
 from screensift.operators import tfidf as tf
 
 MAX_TREE_DEPTH = 30  # Spark ML limit
 MAX_SVC_ITERATIONS = 1000  # for an SVC asked to run without a limit
+SVC_KERNELS = ("linear", "rbf")
 #: Model names a job may ask for, and the estimator family behind each.
 FAMILIES = {"xgboost": "boosted trees or linear booster", "lightgbm": "boosted trees",
             "RandomForestClassifier": "forest", "SVC": "support vectors"}
@@ -169,7 +169,7 @@ def make_estimator(model_name: str, params: Mapping | None = None, weight_sum: f
             seed=int(take("random_state", 0) or 0), **common)
     else:  # SVC
         kernel = take("kernel", "linear")
-        if kernel not in ("linear", "rbf"):
+        if kernel not in SVC_KERNELS:
             raise ValueError(f"SVC kernel {kernel!r} is not supported on Spark (linear, rbf only)")
         c = float(take("C", 1.0))
         take("gamma", None)
@@ -184,33 +184,20 @@ def rff_features(matrix: DataFrame, docs: DataFrame, gamma: float, n_components:
                  seed: int = 0) -> DataFrame:
     """M7 (rbf): random Fourier features z = sqrt(2/D) cos(x W + b), W ~ N(0, 2 gamma).
 
-    W and b are functions of (seed, term_idx, j) via md5, so nothing is stored
-    or broadcast; the projection is a sparse join-free explode + aggregate.
+    One row per document in, one out; W and b are drawn in the tasks (functions/fourier.py).
     """
-    d = n_components
-    j = F.explode(F.sequence(F.lit(0), F.lit(d - 1))).alias("j")
-    x = matrix.select("doc_id", "term_idx", "value", j)
-    u1 = uniform(F.lit(seed), F.lit("w1"), F.col("term_idx"), F.col("j"))
-    u2 = uniform(F.lit(seed), F.lit("w2"), F.col("term_idx"), F.col("j"))
-    normal = F.sqrt(-2.0 * F.log(F.greatest(u1, F.lit(1e-300)))) * F.cos(2 * math.pi * u2)
-    w = normal * math.sqrt(2.0 * gamma)
-    proj = x.groupBy("doc_id", "j").agg(F.sum(F.col("value") * w).alias("p"))
-    proj = docs.select("doc_id").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(d - 1)))).join(
-        proj, ["doc_id", "j"], "left")
-    b = uniform(F.lit(seed), F.lit("b"), F.col("j")) * 2 * math.pi
-    z = math.sqrt(2.0 / d) * F.cos(F.coalesce(F.col("p"), F.lit(0.0)) + b)
-    per_doc = proj.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("j", z.alias("z")))).alias("zs"))
-    cols = [F.col("zs")[i]["z"].alias(f"z{i}") for i in range(d)]
-    wide = per_doc.select("doc_id", *cols)
-    return VectorAssembler(inputCols=[f"z{i}" for i in range(d)], outputCol="features").transform(wide).select(
-        "doc_id", "features")
+    rows = tf.to_vector_arrays(matrix, docs.select("doc_id"))
+    z = fourier_array(F.col("indices"), F.col("values"), gamma, n_components, seed)
+    return rows.select("doc_id", array_to_vector(z).alias("features"))
 
 
 def fit(train: DataFrame, model_name: str, params: Mapping | None = None, n_rows: int | None = None,
         weight: float | None = None):
     """Fit on ``n_rows`` rows of (doc_id, features, label); ``weight``, the positives', is n_neg / n_pos.
 
-    Returns (fitted model, ignored parameter names).
+    Returns (fitted model, ignored parameter names). An rbf SVC is a linear one over
+    random Fourier features: a PipelineModel of the map and the linear model.
+    ``gamma`` defaults to 1 (TF-IDF rows have unit length).
     """
     df = train.withColumn("label_d", F.col("label").cast("double"))
     wcol, weight_sum = None, n_rows
@@ -219,6 +206,11 @@ def fit(train: DataFrame, model_name: str, params: Mapping | None = None, n_rows
         weight_sum = 2.0 * n_rows * weight / (1.0 + weight) if n_rows else None
         df = df.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
         wcol = "weight"
+    if model_name == "SVC" and _num(params or {}, "kernel", "linear") == "rbf":
+        fmap = FourierMap(gamma=float(_num(params, "gamma", 1.0)))
+        est, ignored = make_estimator(model_name, params, weight_sum, weight_col=wcol,
+                                      features_col=fmap.getOutputCol())
+        return PipelineModel(stages=[fmap, est.fit(fmap.transform(df))]), ignored
     est, ignored = make_estimator(model_name, params, weight_sum, weight_col=wcol)
     return est.fit(df), ignored
 

@@ -101,6 +101,10 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
     unl = feats.join(unlabelled.select("doc_id"), "doc_id", "left_semi")
     sopts = opts.search or SearchOptions(model_name=opts.model_name)
     ranges = H.default_ranges(spark)
+    # default kernels that Spark can fit; a kernel the user asks for is tried and fails with its reason
+    fits = F.array_intersect("choices", F.array(*[F.lit(k) for k in md.SVC_KERNELS]))
+    ranges = ranges.withColumn("choices", F.when(
+        (F.col("model") == "SVC") & (F.col("param") == "kernel"), fits).otherwise(F.col("choices")))
     if opts.user_ranges is not None:
         ranges = H.merge_ranges(ranges, opts.user_ranges)
     if not opts.resume_search:
@@ -132,7 +136,13 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
         shap = X.shap_linear(res.matrix, w, unl.select("doc_id"))
     else:
         vecs = tf.to_vector_arrays(res.matrix, unl.select("doc_id"))
-        shap = X.shap_tree(spark, model, vecs)
+        if isinstance(model, PipelineModel):  # Fourier map + linear SVC
+            fmap, svc = model.stages
+            d = fmap.getOrDefault(fmap.components)
+            W, b = X.rff_matrix(spark, res.vocabulary.count(), fmap.getOrDefault(fmap.gamma), d)
+            shap = X.shap_sampled_rff(spark, vecs, W, b, svc.coefficients.toArray(), svc.intercept)
+        else:
+            shap = X.shap_tree(spark, model, vecs)
     paths = io.write_artifacts(out_dir, res.vocabulary, res.matrix, labels, best)
     for k, df in reports.items():
         df.write.mode("errorifexists").parquet(f"{out_dir}/reports/{k}")

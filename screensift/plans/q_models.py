@@ -66,14 +66,7 @@ def q_fit_svc(spark, sf):
 
 @register("fit_svc_rbf")
 def q_fit_svc_rbf(spark, sf):
-    res = tf.tfidf(tb.records(spark, sf))
-    labels = fx.labels_of(spark, sf)
-    z = md.rff_features(res.matrix, res.docs, gamma=1.0, n_components=64)
-    lab = z.join(labels, "doc_id")
-    cw = lb.class_weight(labels).first()
-    model, _ = md.fit(lab, "SVC", {"kernel": "rbf", "C": 10.0, "gamma": 1.0},
-                      n_rows=cw["n_pos"] + cw["n_neg"], weight=cw["weight"])
-    return md.score(model, lab).select("doc_id", "label", "score")
+    return _fit_and_score(spark, sf, "SVC", {"kernel": "rbf", "C": 10.0, "gamma": 1.0})
 
 
 @register("score_rows")

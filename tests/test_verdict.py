@@ -94,3 +94,34 @@ def test_search_over_restarts_failures_and_deletion(spark):
                    SearchOptions(study="f", model_name="SVC", n_trials=2, max_failures_in_row=3), path)
     failed = load_study(spark, path, "f")[0].collect()
     assert {r.state for r in failed} == {"FAILED"} and all("sigmoid" in r.error for r in failed)
+
+
+def test_rbf_svc_is_not_linear_and_survives_saving(spark):
+    import numpy as np
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.linalg import Vectors
+
+    from screensift.functions.fourier import FourierMap
+    from screensift.operators import models as md
+    from screensift.session import scratch_path
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(80, 2))
+    inside = (np.hypot(x[:, 0], x[:, 1]) < 1.0).astype(int)  # no line separates a disc from its surroundings
+    rows = [(i, Vectors.sparse(2, [0, 1], x[i]) if i % 2 else Vectors.dense(x[i]), int(inside[i])) for i in range(80)]
+    df = spark.createDataFrame(rows, ["doc_id", "features", "label"])
+    right = {}
+    for kernel in ("linear", "rbf"):
+        model, ignored = md.fit(df, "SVC", {"kernel": kernel, "C": 100.0, "gamma": 1.0}, n_rows=80)
+        scores = {r.doc_id: r.score for r in md.score(model, df).collect()}
+        right[kernel] = sum((scores[i] > 0) == bool(inside[i]) for i in range(80))
+        assert ignored == ()
+    assert right["rbf"] >= 74 > right["linear"]
+    path = scratch_path(spark, "rbf")
+    model.write().save(path)
+    again = {r.doc_id: r.score for r in md.score(PipelineModel.load(path), df).collect()}
+    assert again == scores
+    z = np.array([r.fourier.toArray() for r in FourierMap(gamma=0.5, components=4000).transform(df).select(
+        "fourier").collect()])
+    kernel = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - kernel).max() < 0.12
