@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from screensift.llm.frames import chunks, materialise, shuffle_partitions
@@ -37,7 +37,7 @@ from screensift.session import scratch_path
 MIN_DEDUP_BYTES = 1000
 #: Captures per index block; bytes from which a task begins a new archive file; gzip level.
 BLOCK_CAPTURES, FILE_BYTES, LEVEL = 1000, 256 << 20, 3
-#: A directory of more blocks than this is not broadcast: keys meet blocks by a join instead.
+#: A directory of more blocks than this is not broadcast: its key ranges are, and blocks meet keys within a range.
 MAX_DIRECTORY = 200_000
 DATE = "1970-01-01T00:00:00Z"
 CRLF = b"\r\n"
@@ -155,15 +155,19 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def build_index(captures: DataFrame, folder: str, block_captures: int = BLOCK_CAPTURES) -> Archive:
-    """Sort captures by key into compressed blocks; the directory keeps the first and last key of each block."""
+    """Sort captures by key into compressed blocks; the directory keeps the first and last key of each block.
+
+    ``part`` names the key range a block lies in; there are as many ranges as shuffle partitions.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        part = uuid.uuid4().hex  # the key range that this task has
 
         def block(rows):
             lines = "\n".join(json.dumps(r, ensure_ascii=True) for r in rows)
-            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([rows[0][0]]), pa.array([rows[-1][0]]),
-                                               pa.array([zlib.compress(lines.encode())], pa.binary())], ["block", "first", "last", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([uuid.uuid4().hex]), pa.array([rows[0][0]]), pa.array([rows[-1][0]]),
+                                               pa.array([zlib.compress(lines.encode())], pa.binary())], ["part", "block", "first", "last", "data"])
 
         for b in batches:
             held += zip(*(b.column(c).to_pylist() for c in ("url_key", "id", "file", "offset", "length")))
@@ -174,25 +178,53 @@ def build_index(captures: DataFrame, folder: str, block_captures: int = BLOCK_CA
             yield block(held)
 
     ranged = captures.repartitionByRange(shuffle_partitions(captures), "url_key", "id").sortWithinPartitions("url_key", "id", "file", "offset")
-    blocks = materialise(ranged.mapInArrow(pack, "block string, first string, last string, data binary"), "capture-index")
-    return Archive(folder, blocks, blocks.select("block", "first", "last"))
+    blocks = materialise(ranged.mapInArrow(pack, "part string, block string, first string, last string, data binary"), "capture-index")
+    return Archive(folder, blocks, blocks.select("part", "block", "first", "last"))
 
 
-def _blocks_of(archive: Archive, keys: DataFrame, max_directory: int) -> DataFrame:
-    """(url_key) -> (block, url_key): bisect the directory, in which neighbouring blocks may share a key."""
-    if archive.directory.count() > max_directory:
-        return archive.directory.join(keys, F.col("url_key").between(F.col("first"), F.col("last"))).select("block", "url_key")
-    rows = sorted((r.first, r.last, r.block) for r in archive.directory.toLocalIterator())
+def _bisected(keys: DataFrame, rows: list[tuple[str, str, str]], before: bool = False) -> DataFrame:
+    """(url_key) -> (name, url_key) for the sorted (first, last, name) ranges that can hold the key.
+
+    ``before``: the last range that begins below the key, or none.
+    """
     shared = keys.sparkSession.sparkContext.broadcast(tuple(zip(*rows)) if rows else ((), (), ()))
 
     def bisect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, last, block = shared.value
+        first, last, name = shared.value
+
+        def ranges(key: str) -> range:
+            upto = bisect_left(first, key) if before else bisect_right(first, key)
+            return range(max(0, upto - 1) if before else bisect_left(last, key), upto)
+
         for b in batches:
-            found = [(block[i], k) for k in b.column(0).to_pylist() for i in range(bisect_left(last, k), bisect_right(first, k))]
+            found = [(name[i], k) for k in b.column(0).to_pylist() for i in ranges(k)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string())],
-                                             ["block", "url_key"])
+                                             ["name", "url_key"])
+
+    return keys.mapInArrow(bisect, "name string, url_key string")
+
 
-    return keys.mapInArrow(bisect, "block string, url_key string")
+def _blocks_of(archive: Archive, keys: DataFrame, max_directory: int) -> DataFrame:
+    """(url_key) -> (block, url_key): the blocks that can hold a key; neighbouring blocks may share one.
+
+    A directory of up to ``max_directory`` blocks is bisected whole. Of a larger one only its
+    key ranges are (one per index partition); within a range the keys meet the blocks in sorted
+    order: a key lies in the last block that begins below it, and in those that begin with it.
+    """
+    directory = archive.directory
+    if directory.count() <= max_directory:
+        rows = sorted((r.first, r.last, r.block) for r in directory.toLocalIterator())
+        return _bisected(keys, rows).withColumnRenamed("name", "block")
+    parts = directory.groupBy("part").agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
+    dealt = _bisected(keys, sorted((r["first"], r["last"], r.part) for r in parts), before=True).select(
+        F.col("name").alias("part"), F.col("url_key").alias("key"), F.lit(None).cast("string").alias("block"), F.lit(None).cast("string").alias("last"))
+    merged = dealt.union(directory.select("part", F.col("first").alias("key"), "block", "last"))
+    # keys come before the blocks that begin with them; of such blocks the one that reaches furthest is last
+    order = Window.partitionBy("part").orderBy("key", F.col("block").isNotNull(), "last")
+    latest = F.last(F.when(F.col("block").isNotNull(), F.struct("block", "last")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    below = merged.withColumn("held", latest).where(F.col("block").isNull() & (F.col("held.last") >= F.col("key"))).select("held.block", F.col("key").alias("url_key"))
+    begin = directory.join(keys, F.col("first") == F.col("url_key")).select("block", "url_key")
+    return below.union(begin)
 
 
 def lookup(archive: Archive, keys: DataFrame, max_directory: int = MAX_DIRECTORY) -> DataFrame:
