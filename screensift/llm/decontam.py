@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screensift.llm.frames import chunks, packed, text_of, unpacked
+from screensift.llm.frames import chunks, materialise, packed, text_of, unpacked
 
 WINDOW = 13
 #: A document is contaminated when hits make up 1 / COVERAGE of its words or more.
@@ -174,15 +174,22 @@ def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_words: int) -> list[list[tuple[str, str]]]:
-    """Items in shards of about ``shard_words`` words each, so that no broadcast grows with the benchmark."""
-    items = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"),
-                             text_of(f"`{text_col}`").alias("text")).distinct()
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // (4 * shard_words)))  # four characters a word and more
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    return [[(r.item, r.text) for r in dealt.where(F.col("shard") == i).select("item", "text").toLocalIterator()]
-            for i in range(n)]
+class _Shards:
+    """Items in shards of about ``shard_words`` words each, one in the driver at a time, so no broadcast grows with the benchmark."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, shard_words: int):
+        items = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"),
+                                 text_of(f"`{text_col}`").alias("text")).distinct()
+        size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+        self.n = max(1, -(-size // (4 * shard_words)))  # four characters a word and more
+        self.dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(self.n)))
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self) -> Iterator[list[tuple[str, str]]]:
+        for i in range(self.n):
+            yield [(r.item, r.text) for r in self.dealt.where(F.col("shard") == i).select("item", "text").toLocalIterator()]
 
 
 def scanned(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -197,9 +204,13 @@ def scanned(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
     spark = docs.sparkSession
     out = packed(docs, text=text_of(f"`{text_col}`"), n_words=F.lit(0).cast("bigint"),
                  spans=F.array().cast("array<int>"), items=F.array().cast("array<string>"))
-    for shard in _shards(benchmark, item_col, item_text_col, shard_words):
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(shard, window))
+    shards = _Shards(benchmark, item_col, item_text_col, shard_words)
+    for i, items in enumerate(shards):
+        shared = spark.sparkContext.broadcast(SuffixAutomaton(items, window))
         out = out.mapInArrow(_scanner(shared), out.schema)
+        if i + 1 < len(shards):  # written in between, so that a task never holds two automata
+            out = materialise(out, "benchmark-shard")
+            shared.unpersist()
     return out
 
 
