@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -47,6 +48,24 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+def _union(found: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the candidates cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in sorted(c[1:3] for c in found):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
+def _overlaps(taken: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    i = bisect_right(taken[1], start)  # the first stretch that ends after the start
+    return i < len(taken[0]) and taken[0][i] < end
+
+
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
     """(kind number, start, end, secret value) sorted by start, then kind."""
     out = []
@@ -56,10 +75,11 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
                 out.append((0, m.start(), m.end(), m[2]))
     out += [(1, m.start(), m.end(), m[0]) for m in _ACCESS.finditer(text)]
     out += [(2, m.start(), m.end(), m[0]) for m in _HEX.finditer(text)]
+    taken = _union(out)
     for m in _OPAQUE.finditer(text):
         v = m[0]
         if (re.search("[0-9]", v) and re.search("[a-z]", v) and re.search("[A-Z]", v) and entropy(v) >= MIN_ENTROPY
-                and not any(s < m.end() and m.start() < e for _, s, e, _ in out)):
+                and not _overlaps(taken, m.start(), m.end())):
             out.append((3, m.start(), m.end(), v))
     return sorted(out, key=lambda c: (c[1], c[0]))
 
