@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screensift.llm.frames import chunks, materialise, text_of
@@ -62,6 +62,8 @@ TEMPLATES = {
 }
 #: Least cosine of a line or text; share of a file's words in notices from which on it is a licence file.
 MIN_COSINE, LICENCE_FILE_SHARE = 0.8, 0.1
+#: A directory with more than one part in so many of all files is hot.
+HOT_PARTS = 1000
 
 _FOLD = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
@@ -143,6 +145,24 @@ def document_frequencies(files: DataFrame, vocabulary: list[bytes]) -> tuple[int
     return counts.pop(b"", 0), counts
 
 
+def _inherited(own: DataFrame, orphan: Column, places: DataFrame, nearest: DataFrame) -> DataFrame:
+    """``own`` plus above and declared of each orphan's directory.
+
+    A directory with more than 1 / ``HOT_PARTS`` of all files is hot. There are fewer than
+    ``HOT_PARTS`` of these, so they are broadcast; files of the others meet theirs by a shuffle.
+    """
+    total = own.count()
+    known = materialise(places.join(nearest, "directory", "left"), "licence-directories")
+    is_hot = F.col("files") * HOT_PARTS > total
+    hot = known.where(is_hot).select("directory", F.col("above").alias("hot_above"), F.col("declared").alias("hot_declared"), F.lit(True).alias("hot"))
+    marked = own.join(F.broadcast(hot), "directory", "left")
+    meets = orphan & F.col("hot").isNull()
+    columns = [F.col(c) for c in own.columns]
+    settled = marked.where(~meets).select(*columns, *[F.when(orphan, F.col(f"hot_{c}")).alias(c) for c in ("above", "declared")])
+    cold = known.where(~is_hot & F.col("above").isNotNull()).select("directory", "above", "declared")
+    return settled.unionByName(marked.where(meets).select(*columns).join(cold, "directory", "left"))
+
+
 def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",
                   templates: dict[str, list[str]] | None = None, min_cosine: float = MIN_COSINE,
                   licence_file_share: float = LICENCE_FILE_SHARE) -> DataFrame:
@@ -175,14 +195,15 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
     declared = own.where(is_file & (F.col("directory") != "")).groupBy("directory").agg(
         F.min(F.struct((-F.col("cosine")).alias("low"), F.col("licence").alias("licence"))).alias("best")).select(
         F.col("directory").alias("above"), F.col("best.licence").alias("declared"))
-    places = own.where(F.col("licence").isNull() & (F.col("directory") != "")).select("directory").distinct()
+    orphan = F.col("licence").isNull() & (F.coalesce("directory", F.lit("")) != "")
+    places = own.where(orphan).groupBy("directory").agg(F.count("*").alias("files"))
     steps = F.split(F.expr("substring(directory, 1, length(directory) - 1)"), "/", -1)
     ancestors = places.withColumn("above", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(steps)), lambda n: F.concat(F.array_join(F.slice(steps, 1, n), "/"), F.lit("/")))))
     nearest = ancestors.join(declared, "above").groupBy("directory").agg(
         F.max(F.struct(F.length("above").alias("depth"), "above", "declared")).alias("near")).select(
         "directory", F.col("near.above").alias("above"), F.col("near.declared").alias("declared"))
-    out = own.join(nearest, "directory", "left")
+    out = _inherited(own, orphan, places, nearest)
     origin = F.when(is_file, "file").when(F.col("licence").isNotNull(), "header").when(
         F.col("declared").isNotNull(), "inherited").otherwise("none")
     return out.select(F.col("id").alias(id_col), F.col("path").alias(path_col), F.coalesce("licence", "declared").alias("licence"),
