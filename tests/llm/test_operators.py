@@ -335,6 +335,18 @@ def test_secret_patterns():
     assert [text[s:e] for k, s, e, _ in got if k == 0] == ['password = "abc123', "token=secret=abcdef", "api_key:'k.1/2+3="]
 
 
+def test_opaque_tokens_keep_clear_of_patterns():
+    draw = random.Random(5)
+    word = lambda n: "".join(draw.choice("ABCXYZabcxyz012789/+") for _ in range(n))
+    text = " ".join(draw.choice(["token=", "", "AKIA", "x "]) + word(draw.randrange(4, 40)) for _ in range(3000))
+    got = secret_scan.candidates(text)
+    base = [c for c in got if c[0] < 3]
+    opaque = {(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text)
+              if all(re.search(p, m[0]) for p in ("[0-9]", "[a-z]", "[A-Z]")) and secret_scan.entropy(m[0]) >= secret_scan.MIN_ENTROPY
+              and not any(s < m.end() and m.start() < e for _, s, e, _ in base)}
+    assert opaque and base and {c[1:3] for c in got if c[0] == 3} == opaque
+
+
 def test_ownership(spark, edge, empty):
     opaque, copied = "Zx9kQ2mL7vB4nR8tY1wP", "Hq7Jd3Wk9Xs2Zp5Lm8Tv"
     rows = [(1, f"a {opaque} b", "o1"), (2, f"{copied} {opaque}", "o1"), (3, copied, "o2"), (4, copied, "o3"), (5, "password=hunter22", "o4"),
@@ -356,7 +368,7 @@ def test_warc_round_trip(spark):
          (2, "https://b.example.com:8080", big)], "page_id long, url string, html string")
     archive = warc.archive_pages(spark, pages)
     keys = pages.select(warc.url_key_column(F.col("url")).alias("url_key")).union(spark.createDataFrame([("com,nowhere)/",), (None,)], "url_key string"))
-    for most in (1000, 0):  # bisection in the directory, and the join that replaces it
+    for most in (1000, 0):  # bisection in the whole directory, and in its key ranges
         got = warc.read_records(archive.folder, warc.lookup(archive, keys, most)).collect()
         assert Counter((r.id, r.record_type, r.refers_to, r.payload_bytes) for r in got) == Counter({
             ("1", "revisit", "2", 1200): 1, ("2", "response", None, 1200): 2, ("3", "response", None, 4): 1, ("4", "response", None, 0): 1,
@@ -376,6 +388,17 @@ def test_small_blocks_share_keys(spark):
     assert sorted(int(r.id) for r in got.collect()) == list(range(1, 40, 3))
 
 
+def test_large_directories_find_what_small_ones_do(spark):
+    draw = random.Random(3)
+    captures = [(f"k{draw.choice([7, 7, draw.randrange(60)]):02d}", str(i), "f", i, 1) for i in range(300)]
+    archive = warc.build_index(spark.createDataFrame(captures, warc.CAPTURE), "unused", block_captures=4)
+    keys = spark.createDataFrame([(f"k{i:02d}{end}",) for i in range(-1, 62) for end in ("", "x")], "url_key string")
+    small, large = (warc.lookup(archive, keys, most).collect() for most in (1000, 0))
+    assert Counter(map(tuple, small)) == Counter(map(tuple, large)) == Counter(captures)
+    plan = warc._blocks_of(archive, keys, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 # licences ----------------------------------------------------------------------------------------------
 
 def test_licenses(spark, edge, empty):
@@ -393,6 +416,18 @@ def test_licenses(spark, edge, empty):
     assert license_scan.scan_licenses(empty.withColumn("path", F.col("source"))).count() == 0
 
 
+def test_licenses_of_hot_and_cold_directories(spark, monkeypatch):
+    files = [(0, "r/LICENSE", "Released under the MIT License.")] + [
+        (i, ("r/hot/" if i % 3 else "far/hot/" if i % 2 else f"r/{i}/") + f"{i}.txt", f"prose number {i}") for i in range(1, 60)]
+    rows = spark.createDataFrame(files, "doc_id long, path string, text string")
+    every = []
+    for parts in (0, 8, 1 << 30):  # none hot, the two large directories, all
+        monkeypatch.setattr(license_scan, "HOT_PARTS", parts)
+        every.append(sorted(tuple(str(x) for x in r) for r in license_scan.scan_licenses(rows).collect()))
+    assert every[0] == every[1] == every[2] and len(every[0]) == len(files)
+    assert {(r[4], r[5]) for r in every[0] if "hot" in r[1]} == {("inherited", "r/"), ("none", "None")}
+
+
 def test_license_cosine_equals_a_plain_one():
     df = {b"the": 50, b"license": 3, b"under": 20, b"licensed": 2}
     m = license_scan.Matcher(100, df, license_scan.TEMPLATES, 0.1)
