@@ -18,7 +18,6 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from screensift.functions import text as tx
 from screensift.functions.fourier import FourierMap, fourier_array
 from screensift.operators import tfidf as tf
+from screensift.operators.tfidf import vectorizer  # noqa: F401
 
 MAX_TREE_DEPTH = 30  # Spark ML limit
 MAX_SVC_ITERATIONS = 1000  # for an SVC asked to run without a limit
@@ -42,23 +42,6 @@ class UnknownModel(ValueError):
 
 # ---- features --------------------------------------------------------------------
 
-def vectorizer(vocab: DataFrame, opts: tf.TfidfOptions = tf.TfidfOptions()) -> PipelineModel:
-    """Fitted TF-IDF as a PipelineModel over the n-gram column ``terms``.
-
-    The vocabulary is bounded by max_features (checked), so bringing it to the
-    driver is the same as fitting a CountVectorizer.
-    """
-    if opts.max_features is None or opts.max_features > tf.MAX_BROADCAST_VOCABULARY:
-        raise ValueError("vectorizer needs a bounded vocabulary (max_features)")
-    rows = vocab.orderBy("term_idx").select("term", "idf").collect()
-    terms = [r[0] for r in rows] or ["\u0000"]
-    idf = [float(r[1]) for r in rows] or [0.0]
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="_tf")
-    ep = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf")
-    norm = Normalizer(p=2.0, inputCol="_tfidf", outputCol="features")
-    return PipelineModel(stages=[cv, ep, norm])
-
-
 def with_terms(records: DataFrame, opts: tf.TfidfOptions = tf.TfidfOptions(),
                lemmas: DataFrame | None = None) -> DataFrame:
     """(doc_id, terms ARRAY): every n-gram occurrence of each document, in-row.

@@ -1,13 +1,14 @@
 """Term counts, document frequency, vocabulary, TF-IDF.
 
 Plan shape (one corpus):
-  documents --shuffle by doc_id (raw text, once)--> token arrays --explode n-grams-->
-  term counts per (doc, term): local hash aggregate, no shuffle (input is
-  already clustered by doc_id) --> document frequency: one shuffle by term after
+  documents --tokens, n-grams and counts in the row--> one (term, tf) array per
+  document, cached --explode--> document frequency: the only shuffle, by term after
   map-side partial aggregation (hot terms collapse before the exchange) -->
   vocabulary: top-k by corpus frequency (TakeOrderedAndProject, bounded by
-  max_features) --> broadcast join back (the broadcast side is bounded by
-  max_features) --> L2 norm with a doc_id window, again without a shuffle.
+  max_features) --> fitted vectorizer --> one sparse, L2-normalised vector per
+  document, again in the row --> (doc_id, term_idx, value) by one explode.
+Texts move only where their files are fewer than the cores (see spread). An unbounded vocabulary
+(max_features None) meets the counts in a join instead.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,9 +50,11 @@ class TfidfOptions:
             raise ValueError("bad n-gram range")
 
 
-def cluster_by_doc(records: DataFrame) -> DataFrame:
-    """Shuffle the raw records once so every later per-document step is local."""
-    return records.repartition("doc_id")
+def spread(records: DataFrame) -> DataFrame:
+    """Records dealt by doc_id where their files are fewer than the cores (a small file is one task); else as scanned."""
+    if len(records._jdf.inputFiles()) < records.sparkSession.sparkContext.defaultParallelism:
+        return records.repartition("doc_id")
+    return records
 
 
 def words(records: DataFrame, opts: TfidfOptions, lemmas: DataFrame | None = None) -> DataFrame:
@@ -60,8 +66,7 @@ def term_counts(word_df: DataFrame, opts: TfidfOptions = TfidfOptions()) -> Data
     """(doc_id, term, tf) raw counts of every n-gram in each document.
 
     Counted inside each document row (sort + run lengths), so this step is
-    narrow: no aggregate, no shuffle, and its output keeps the input's doc_id
-    partitioning.
+    narrow: no aggregate and no shuffle.
     """
     return explode_counts(doc_term_arrays(word_df, opts))
 
@@ -89,7 +94,7 @@ def idf_col(n_docs: Column, df: Column) -> Column:
 def fit_vocabulary(tc: DataFrame, n_docs: Column, opts: TfidfOptions = TfidfOptions()) -> DataFrame:
     """(term_idx, term, tf, df, idf); term_idx in alphabetical order."""
     kept = doc_freq(tc).filter(F.col("df") >= opts.min_df)
-    if opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY:
+    if is_bounded(opts):
         top = kept.orderBy(F.desc("tf"), F.asc("term")).limit(opts.max_features)
         # bounded by max_features rows: one partition is safe here and only here
         vocab = top.withColumn("term_idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
@@ -107,10 +112,51 @@ def fit_vocabulary(tc: DataFrame, n_docs: Column, opts: TfidfOptions = TfidfOpti
     )
 
 
-def transform(tc: DataFrame, vocab: DataFrame, bounded: bool = True) -> DataFrame:
-    """(doc_id, term_idx, value) = L2-normalised tf * idf; zero rows have no entries."""
-    v = F.broadcast(vocab.select("term", "term_idx", "idf")) if bounded else vocab.select("term", "term_idx", "idf")
-    raw = tc.join(v, "term").select("doc_id", "term_idx", (F.col("tf") * F.col("idf")).alias("v"))
+def vectorizer(vocab: DataFrame, opts: TfidfOptions = TfidfOptions()) -> PipelineModel:
+    """Fitted TF-IDF as a PipelineModel over the n-gram column ``terms``.
+
+    The vocabulary is bounded by max_features (checked), so bringing it to the
+    driver is the same as fitting a CountVectorizer.
+    """
+    if not is_bounded(opts):
+        raise ValueError("vectorizer needs a bounded vocabulary (max_features)")
+    rows = vocab.select("term_idx", "term", "idf").toPandas().sort_values("term_idx")
+    terms = list(rows["term"]) or ["\u0000"]
+    idf = rows["idf"].tolist() or [0.0]
+    # from_vocabulary() sends one term a call; terms have no line breaks, so one string takes them all
+    array = vocab.sparkSession.sparkContext._jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms))
+    cv = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", array)
+    cv.setInputCol("terms").setOutputCol("_tf")
+    ep = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf")
+    norm = Normalizer(p=2.0, inputCol="_tfidf", outputCol="features")
+    return PipelineModel(stages=[cv, ep, norm])
+
+
+def is_bounded(opts: TfidfOptions) -> bool:
+    return opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY
+
+
+def document_vectors(arrays: DataFrame, model: PipelineModel) -> DataFrame:
+    """(doc_id, features) = L2-normalised tf * idf, from each document's (term, tf) array, in the row."""
+    repeated = F.flatten(F.transform("counts", lambda c: F.array_repeat(c["term"], c["tf"].cast("int"))))
+    return model.transform(arrays.select("doc_id", repeated.alias("terms"))).select("doc_id", "features")
+
+
+def vector_arrays(vectors: DataFrame) -> DataFrame:
+    """(doc_id, indices, values) of sparse vectors; documents without terms have empty arrays."""
+    v = F.unwrap_udt("features")
+    return vectors.select("doc_id", v["indices"].alias("indices"), v["values"].alias("values"))
+
+
+def vector_entries(vectors: DataFrame) -> DataFrame:
+    """(doc_id, term_idx, value): one row per entry; zero vectors have none."""
+    return vector_arrays(vectors).select("doc_id", F.inline(F.arrays_zip("indices", "values"))).select(
+        "doc_id", F.col("indices").alias("term_idx"), F.col("values").alias("value"))
+
+
+def transform(tc: DataFrame, vocab: DataFrame) -> DataFrame:
+    """T16/T17 for a vocabulary without a bound: (doc_id, term_idx, value) by a join on the term."""
+    raw = tc.join(vocab.select("term", "term_idx", "idf"), "term").select("doc_id", "term_idx", (F.col("tf") * F.col("idf")).alias("v"))
     norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy("doc_id")))
     return raw.select("doc_id", "term_idx", (F.col("v") / norm).alias("value"))
 
@@ -121,28 +167,31 @@ class TfidfResult:
     matrix: DataFrame          # doc_id, term_idx, value
     n_features: Column         # scalar subquery: vocabulary size
     docs: DataFrame            # doc_id of every corpus row (empty documents included)
-    counts: DataFrame | None = None  # persisted (doc_id, counts); release with unpersist()
+    held: tuple[DataFrame, ...] = ()   # persisted; release with unpersist()
+    vectors: DataFrame | None = None   # doc_id, features (bounded vocabularies)
 
     def unpersist(self) -> None:
-        self.matrix.unpersist()
-        if self.counts is not None:
-            self.counts.unpersist()
+        for df in self.held:
+            df.unpersist()
 
 
 def tfidf(records: DataFrame, opts: TfidfOptions = TfidfOptions(), lemmas: DataFrame | None = None) -> TfidfResult:
     """Whole chain with one vocabulary for the corpus given (labelled + unlabelled)."""
-    corpus = cluster_by_doc(records)
+    corpus = spread(records)
     # used by both the vocabulary fit and the transform: computed once, cached
     # compactly as one row of (term, tf) pairs per document
     arrays = doc_term_arrays(words(corpus, opts, lemmas), opts).persist(StorageLevel.MEMORY_AND_DISK)
     tc = explode_counts(arrays)
-    n_docs = corpus.select(F.count(F.lit(1))).scalar()
+    n_docs = records.select(F.count(F.lit(1))).scalar()
     # the fitted state is small (<= max_features rows): cut its lineage once in the
     # shared checkpoint folder so every consumer reads it instead of re-fitting
     vocab = checkpoint(fit_vocabulary(tc, n_docs, opts))
-    bounded = opts.max_features is not None and opts.max_features <= MAX_BROADCAST_VOCABULARY
-    matrix = transform(tc, vocab, bounded).persist(StorageLevel.MEMORY_AND_DISK)
-    return TfidfResult(vocab, matrix, vocab.select(F.count(F.lit(1))).scalar(), corpus.select("doc_id"), arrays)
+    n_features = vocab.select(F.count(F.lit(1))).scalar()
+    if not is_bounded(opts):
+        matrix = transform(tc, vocab).persist(StorageLevel.MEMORY_AND_DISK)
+        return TfidfResult(vocab, matrix, n_features, records.select("doc_id"), (arrays, matrix))
+    vectors = document_vectors(arrays, vectorizer(vocab, opts)).persist(StorageLevel.MEMORY_AND_DISK)
+    return TfidfResult(vocab, vector_entries(vectors), n_features, records.select("doc_id"), (arrays, vectors), vectors)
 
 
 def with_part(labelled: DataFrame, unlabelled: DataFrame) -> DataFrame:

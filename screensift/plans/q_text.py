@@ -69,14 +69,14 @@ def q_ngrams(spark, sf):
 SELECT doc_id, term, tf FROM tc""")
 def q_term_counts(spark, sf):
     opts = tf.TfidfOptions()
-    return tf.term_counts(tf.words(tf.cluster_by_doc(corpus(spark, sf)), opts), opts)
+    return tf.term_counts(tf.words(tf.spread(corpus(spark, sf)), opts), opts)
 
 
 @register("doc_freq", f"""WITH {S.ctes_term_counts()}
 SELECT term, df, tf FROM dfreq""")
 def q_doc_freq(spark, sf):
     opts = tf.TfidfOptions()
-    return tf.doc_freq(tf.term_counts(tf.words(tf.cluster_by_doc(corpus(spark, sf)), opts), opts))
+    return tf.doc_freq(tf.term_counts(tf.words(tf.spread(corpus(spark, sf)), opts), opts))
 
 
 @register("vocabulary", f"""WITH {S.ctes_vocabulary(3, VOCAB_CAP)}
@@ -113,8 +113,7 @@ def q_tfidf_by_part(spark, sf):
 
 @register("tfidf_vectors")
 def q_tfidf_vectors(spark, sf):
-    res = tf.tfidf(corpus(spark, sf))
-    return tf.to_vector_arrays(res.matrix, res.docs)
+    return tf.vector_arrays(tf.tfidf(corpus(spark, sf)).vectors)
 
 
 @register("labels", """SELECT doc_id, CAST(toxic = 1 AS INTEGER) AS label FROM labels""")
