@@ -7,11 +7,16 @@ word outside the templates only lengthens a vector, with the weight of the rares
 without a licence of their own inherit from the nearest directory above them
 that holds a licence file: the distinct directories are joined with their ancestors'
 paths, and the deepest one that declares a licence wins.
+
+SPDX-License-Identifier lines are read as such, not by cosine. Reserved rights are a class
+of their own: a file that reserves them inherits nothing, and a directory passes them on only
+where it declares no licence.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,9 +27,13 @@ from pyspark.sql import functions as F
 
 from screensift.llm.frames import chunks, materialise, text_of
 
+#: The class of reserved rights: not an open licence.
+RESERVED = "All-Rights-Reserved"
+
 # Licence notices, as usually written at the head of a file (the first line)
 # and in a licence file's opening paragraph.
 TEMPLATES = {
+    RESERVED: ["All rights reserved.", "Copyright (c). All rights reserved.", "Proprietary and confidential. All rights reserved."],
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.",
                  "GNU Affero General Public License Version 3, 19 November 2007"],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
@@ -65,6 +74,10 @@ MIN_COSINE, LICENCE_FILE_SHARE = 0.8, 0.1
 #: A directory with more than one part in so many of all files is hot.
 HOT_PARTS = 1000
 
+#: A copyright line that reserves all rights, whoever holds them.
+_RESERVING = re.compile(r"(?:copyright|\(c\)|\u00a9)[^\n]*\ball rights reserved\b", re.I)
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([\w.+() \t-]+)", re.I)
+
 _FOLD = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
 
@@ -72,6 +85,29 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
+def spdx_of(line: str) -> str | None:
+    """The licence an SPDX line names: a template's name for its identifiers, else the expression as written."""
+    got = _SPDX.search(line)
+    expression = " ".join(got[1].split()) if got else ""
+    while expression.count("(") < expression.count(")") and expression.endswith(")"):  # of the comment around it
+        expression = expression[:-1].rstrip()
+    # a comment may close behind the expression, other words do not belong to it
+    words = re.match(r"\(*[\w.+-]*\w[\w.+]*\)*(?: (?:AND|OR|WITH) \(*[\w.+-]*\w[\w.+]*\)*)*", expression, re.I)
+    if words is None or words[0].upper() == "NOASSERTION":
+        return None
+    if words[0].upper() == "NONE":
+        return RESERVED
+    if " " in words[0]:
+        return words[0]
+    plain = re.sub(r"(?:-only|-or-later|\+)$", "", words[0].strip("()"), flags=re.I)
+    return {name.lower(): name for name in TEMPLATES}.get(plain.lower(), words[0].strip("()"))
+
+
+def is_open(licence: str) -> bool:
+    """Neither reserved rights nor somebody's own terms."""
+    return licence != RESERVED and not licence.lower().startswith("licenseref-")
+
+
 class Matcher:
     """Template vectors under given document frequencies."""
 
@@ -110,22 +146,35 @@ class Matcher:
         return (float(scores[i]), i) if scores[i] >= self.min_cosine else (0.0, -1)
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
-        """(licence, cosine, share of words in notices) of a file: the best of its lines and its whole text."""
-        found, total, noticed, everything = (0.0, -1), 0, 0, []
+        """(licence, cosine, share of words in notices) of a file: the best of its lines and its whole text.
+
+        An SPDX line, or a copyright line that reserves all rights, has cosine 1; open licences go before reserved rights.
+        """
+        found, total, noticed, everything = [], 0, 0, []
         for line in text.split("\n"):
             words = words_of(line)
             if not words:
                 continue
             total += len(words)
             everything.append(words)
-            got = self.best(words)
-            if got[1] >= 0:
+            said = spdx_of(line) if "spdx" in line.lower() else None
+            cosine, i = self.best(words) if said is None else (1.0, -1)
+            if i >= 0:
+                said = self.names[i]
+            elif said is None and "eserved" in line.lower() and _RESERVING.search(line):
+                cosine, said = 1.0, RESERVED
+            if said is not None:
                 noticed += len(words)
-                found = max(found, got, key=lambda g: (g[0], -g[1]))
-        if len(everything) > 1 and (got := self.best([w for line in everything for w in line]))[1] >= 0:
-            noticed = total
-            found = max(found, got, key=lambda g: (g[0], -g[1]))
-        return (self.names[found[1]] if found[1] >= 0 else None, found[0], noticed / total if total else 0.0)
+                found.append((cosine, i, said))
+        if len(everything) > 1:
+            cosine, i = self.best([w for line in everything for w in line])
+            if i >= 0:
+                noticed = total
+                found.append((cosine, i, self.names[i]))
+        if not found:
+            return None, 0.0, 0.0
+        cosine, _, licence = max(found, key=lambda g: (is_open(g[2]), g[0], -g[1]))
+        return licence, cosine, noticed / total
 
 
 def document_frequencies(files: DataFrame, vocabulary: list[bytes]) -> tuple[int, dict[bytes, int]]:
@@ -170,8 +219,8 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
 
     ``origin``: 'file' (its own notices make it a licence file), 'header' (its own, a notice
     in a larger text), 'inherited' (from ``directory``, the nearest above it with a licence
-    file) or 'none'. A directory with several licence files takes the one with the largest cosine,
-    then the first by licence name. NULL texts are empty; a NULL path lies in no
+    file) or 'none'. A directory with several licence files takes an open licence before reserved rights, then the one
+    with the largest cosine, then the first by licence name. NULL texts are empty; a NULL path lies in no
     directory; repeated rows are scanned each; an empty table gives an empty result.
     """
     templates = TEMPLATES if templates is None else templates
@@ -192,8 +241,9 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
     # the directory of a file keeps its closing slash, so 'a/' is above 'a/b/' and not above 'ab/'
     own = materialise(own.withColumn("directory", F.regexp_extract("path", "^(.*/)[^/]*$", 1)), "licences")
     is_file = F.col("licence").isNotNull() & (F.col("share") >= licence_file_share)
+    closed = (F.col("licence") == RESERVED) | F.lower("licence").startswith("licenseref-")
     declared = own.where(is_file & (F.col("directory") != "")).groupBy("directory").agg(
-        F.min(F.struct((-F.col("cosine")).alias("low"), F.col("licence").alias("licence"))).alias("best")).select(
+        F.min(F.struct(closed.alias("closed"), (-F.col("cosine")).alias("low"), F.col("licence").alias("licence"))).alias("best")).select(
         F.col("directory").alias("above"), F.col("best.licence").alias("declared"))
     orphan = F.col("licence").isNull() & (F.coalesce("directory", F.lit("")) != "")
     places = own.where(orphan).groupBy("directory").agg(F.count("*").alias("files"))

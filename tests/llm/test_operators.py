@@ -443,3 +443,31 @@ def test_license_cosine_equals_a_plain_one():
     score, at = m.best(words)
     every = [(cosine(t), name) for name in sorted(license_scan.TEMPLATES) for t in license_scan.TEMPLATES[name]]
     assert score == pytest.approx(max(every)[0]) and m.names[at] == max(every)[1]
+
+
+def test_reserved_rights_and_spdx(spark):
+    filler = "plain prose about nothing in particular with many words in it " * 10
+    files = [(1, "r/LICENSE", "Released under the MIT License."), (2, "r/a.txt", f"{filler}\nAll rights reserved.\n{filler}"),
+             (3, "r/b.txt", f"Copyright (c) 2019 Acme Corp. All rights reserved.\n{filler}"), (4, "r/c.txt", filler),
+             (5, "r/closed/LICENSE", "All rights reserved."), (6, "r/closed/d.txt", filler),
+             (7, "r/e.py", f"# SPDX-License-Identifier: Apache-2.0\n{filler}"), (8, "r/f.c", f"/* SPDX-License-Identifier: GPL-3.0-or-later */\n{filler}"),
+             (9, "r/g.c", f"// SPDX-License-Identifier: (MIT OR EUPL-1.2)\n{filler}"), (10, "r/mixed/LICENSE", "All rights reserved."),
+             (11, "r/mixed/COPYING", "Released under the ISC License."), (12, "r/mixed/h.txt", filler),
+             (13, "r/i.txt", f"All rights reserved.\nLicensed under the Apache License, Version 2.0.\n{filler}"),
+             (14, "r/j.xml", f"<!-- SPDX-License-Identifier: EUPL-1.2 -->\n{filler}"), (15, "r/k.py", f"# SPDX-License-Identifier: NOASSERTION\n{filler}")]
+    got = license_scan.scan_licenses(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()
+    reserved = license_scan.RESERVED
+    assert {r.doc_id: (r.licence, r.origin) for r in got} == {
+        1: ("MIT", "file"), 2: (reserved, "header"), 3: (reserved, "header"), 4: ("MIT", "inherited"), 5: (reserved, "file"),
+        6: (reserved, "inherited"), 7: ("Apache-2.0", "header"), 8: ("GPL-3.0", "header"), 9: ("(MIT OR EUPL-1.2)", "header"), 10: (reserved, "file"),
+        11: ("ISC", "file"), 12: ("ISC", "inherited"), 13: ("Apache-2.0", "header"), 14: ("EUPL-1.2", "header"), 15: ("MIT", "inherited")}
+    assert license_scan.spdx_of("# SPDX-License-Identifier: MIT") == "MIT" and license_scan.spdx_of("SPDX-License-Identifier: NONE") == reserved
+
+
+def test_licences_of_the_given_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    alone = rows.where(F.col("text").rlike(r"(?m)^\s*All rights reserved\.\s*$"))
+    other = r"(?m)^\s*(Licensed under|Released under|This work is licensed)"
+    got = license_scan.scan_licenses(rows.withColumn("path", F.concat_ws("/", "source", "doc_id"))).join(
+        alone.where(~F.col("text").rlike(other)).select("doc_id").distinct(), "doc_id").collect()
+    assert got and {r.licence for r in got} == {license_scan.RESERVED}
