@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -471,3 +472,36 @@ def test_licences_of_the_given_documents(spark):
     got = license_scan.scan_licenses(rows.withColumn("path", F.concat_ws("/", "source", "doc_id"))).join(
         alone.where(~F.col("text").rlike(other)).select("doc_id").distinct(), "doc_id").collect()
     assert got and {r.licence for r in got} == {license_scan.RESERVED}
+
+
+def test_wrapped_notices_and_the_relative_root(spark):
+    filler = "plain prose about nothing in particular with many words in it " * 10
+    wrap = lambda x, mark="": "\n".join(mark + line for line in textwrap.wrap(x, 78 - len(mark)))
+    full = {name: max(license_scan.TEMPLATES[name], key=len) for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-3.0", "Apache-2.0", "AGPL-3.0")}
+    files = [(1, "LICENSE", "MIT License\n\nCopyright (c) 2024 Jane Doe\n\n" + wrap(full["MIT"])), (2, "a/b.txt", filler), (3, "c.txt", filler),
+             (4, "/abs/d.txt", filler), (5, "g.py", wrap(full["GPL-3.0"], "# ") + "\n\n" + filler), (6, "n/LICENSE", wrap(full["BSD-3-Clause"])),
+             (7, "n/m/e.txt", filler), (8, "h.c", filler + "\n" + wrap(full["BSD-2-Clause"], " * ") + "\n" + filler),
+             (9, "i.c", wrap(full["Apache-2.0"], "// ") + "\n" + filler), (10, "j.c", wrap(full["AGPL-3.0"], "// ") + "\n" + filler),
+             (11, "o/COPYING", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n" + "\n".join([filler] * 20)), (12, "o/p/q.txt", filler),
+             (13, "k.c", wrap(full["ISC"])), (14, None, filler)]
+    got = license_scan.scan_licenses(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()
+    assert {r.doc_id: (r.licence, r.origin, r.directory) for r in got} == {
+        1: ("MIT", "file", ""), 2: ("MIT", "inherited", ""), 3: ("MIT", "inherited", ""), 4: (None, "none", None), 5: ("GPL-3.0", "file", ""),
+        6: ("BSD-3-Clause", "file", "n/"), 7: ("BSD-3-Clause", "inherited", "n/"), 8: ("BSD-2-Clause", "file", ""), 9: ("Apache-2.0", "file", ""),
+        10: ("AGPL-3.0", "file", ""), 11: ("GPL-3.0", "file", "o/"), 12: ("GPL-3.0", "inherited", "o/"), 13: ("ISC", "file", ""), 14: (None, "none", None)}
+
+
+def test_runs_equal_all_runs(monkeypatch):
+    m = license_scan.Matcher(1000, {b"the": 500, b"of": 400, b"license": 20}, license_scan.TEMPLATES, 0.8)
+    rng = random.Random(3)
+    pool = [w for t in license_scan.TEMPLATES["MIT"] for w in license_scan.words_of(t)]
+    lines = [[rng.choice(pool) if rng.random() < .5 else b"x%d" % rng.randrange(50) for _ in range(rng.randrange(1, 9))] for _ in range(40)]
+    notice = license_scan.words_of(license_scan.TEMPLATES["MIT"][-1])
+    lines[10:10] = [notice[i:i + 11] for i in range(0, len(notice), 11)]
+    lines[3:3] = [[b"released", b"under"], [b"the", b"mit"], [b"license"]]
+    every = {(i, j) for i in range(len(lines)) for j in range(i + 2, len(lines) + 1)
+             if sum(map(len, lines[i:j])) <= max(m.sizes) and any(w in m.number for w in lines[i]) and any(w in m.number for w in lines[j - 1])
+             and m.best([w for x in lines[i:j] for w in x])[1] >= 0}
+    for block in (4096, 7):
+        monkeypatch.setattr(license_scan, "RUN_BLOCK", block)
+        assert {(a, b) for a, b, _, _ in m.runs(lines)} == every and len(every) > 2
