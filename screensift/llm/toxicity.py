@@ -6,12 +6,13 @@ those come from out-of-fold models, so a later model never learns from
 probabilities fitted on its own rows.
 
 The chain is fitted on a bounded sample of labelled rows (``max_train``); the features
-it may use are those whose chi-square against some category is significant in
-the sample. Scoring reads every whole text once, without a shuffle.
+it may use are the best by chi-square against some category, as far as the false discoveries
+among them stay rare (Benjamini-Hochberg), so no language needs an absolute number of rows. Scoring reads every whole text once, without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,8 +27,8 @@ from screensift.llm.frames import chunks, materialise, packed, text_of, unpacked
 
 #: Labelled rows that train the chain (about; all, if there are fewer), and words it may use.
 MAX_TRAIN, MAX_WORDS = 20_000, 1024
-#: A word needs so many sample documents and so large a chi-square against some category.
-MIN_DOCS, MIN_CHI2 = 10, 50.0
+#: A word on a single sample document is not tested; share of false discoveries among the words chosen.
+MIN_DOCS, FALSE_SHARE = 2, 0.05
 FOLDS, RIDGE, THRESHOLD = 5, 0.3, 0.5
 STEMS = (3, 4, 5, 6)
 
@@ -172,6 +173,18 @@ def fit_chain(row: np.ndarray, col: np.ndarray, y: np.ndarray, words: dict[bytes
     return Chain(categories, words, parameters)
 
 
+def significant(chi2: list[float], tested: int, categories: int, share: float = FALSE_SHARE) -> int:
+    """How many of the largest chi-squares (descending) of ``tested`` words are taken: Benjamini-Hochberg over the values given.
+
+    A word's value is its largest of ``categories`` ones, so its p-value is that of one degree of freedom as often.
+    """
+    taken = 0
+    for i, x in enumerate(chi2, 1):
+        if min(1.0, categories * math.erfc(math.sqrt(x / 2))) <= share * i / max(1, tested):
+            taken = i
+    return taken
+
+
 def train(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | None = None, id_col: str = "doc_id",
           text_col: str = "text", max_train: int = MAX_TRAIN, max_words: int = MAX_WORDS) -> Chain:
     """Fit the chain on labelled documents.
@@ -217,8 +230,10 @@ def train(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | None =
         if 0 < rate < 1:
             d = F.col(f"pos{j}") - F.col(f"known{j}") * rate
             score.append(d * d / (F.greatest(F.col(f"known{j}"), F.lit(1)) * (rate * (1 - rate))))
-    best = counts.withColumn("chi2", F.greatest(*score) if len(score) > 1 else score[0]).where(F.col("chi2") >= MIN_CHI2)
-    words = {bytes(r.word): i for i, r in enumerate(best.orderBy(F.desc("chi2"), "word").limit(max_words).select("word").collect())}
+    tested = materialise(counts.select("word", (F.greatest(*score) if len(score) > 1 else score[0]).alias("chi2")), "toxicity-words")
+    best = tested.orderBy(F.desc("chi2"), "word").limit(max_words).collect()
+    best = best[:significant([r.chi2 for r in best], tested.count(), len(names))]
+    words = {bytes(r.word): i for i, r in enumerate(best)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(words)

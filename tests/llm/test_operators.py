@@ -308,6 +308,28 @@ def test_toxicity(spark, edge, empty):
     assert toxicity.reject_toxic(empty, labels).count() == 0
 
 
+def test_toxicity_of_a_language_with_few_labels(spark):
+    rng = random.Random(5)
+    words = {"en": [f"en{a}{b}" for a in "abcdefgh" for b in "klmnop"], "es": [f"{a}es{b}" for a in "abcdefgh" for b in "klmnop"]}
+    bad = {"en": "idiot", "es": "imb\u00e9cil"}
+
+    def prose(lang, toxic):
+        got = [rng.choice(words[lang]) for _ in range(30)]
+        return " ".join(got[:15] + [bad[lang]] * toxic + got[15:])
+
+    # 40 of 340 English rows are toxic, 8 of 60 Spanish ones; the same again without labels
+    kinds = [("en", int(i < 40)) for i in range(340)] + [("es", int(i < 8)) for i in range(60)]
+    rows = [(i, *k, prose(*k)) for i, k in enumerate(kinds * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, toxic int, text string")
+    labels = docs.where(f"doc_id < {len(kinds)}").select("doc_id", F.lit(1).alias("quality"), "toxic")
+    got = toxicity.toxicity(docs, labels).where(f"doc_id >= {len(kinds)}").groupBy("lang", "toxic").agg(F.avg(F.col("rejected").cast("int")).alias("r")).collect()
+    assert {(r.lang, r.toxic): r.r for r in got} == {("en", 0): 0, ("en", 1): 1, ("es", 0): 0, ("es", 1): 1}
+
+
+def test_significant_words():
+    assert toxicity.significant([100.0, 50.0, 1.0], 1000, 3) == 2 and toxicity.significant([1.0, .5], 2, 1) == 0 and toxicity.significant([], 0, 3) == 0
+
+
 def test_chain_feeds_earlier_probabilities():
     rng = np.random.default_rng(0)
     n = 400
