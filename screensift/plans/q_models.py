@@ -94,7 +94,7 @@ def q_cv_metrics(spark, sf):
 def q_learning_curve(spark, sf):
     f = fx.prepare(spark, sf)
     return cv.learning_curve(spark, f.labelled, f.labels, "xgboost",
-                             {"booster": "gblinear", "n_estimators": 20}, nfolds=3, proportions=(0.5, 1.0))
+                             {"booster": "gblinear", "n_estimators": 20})
 
 
 @register("auc_by_iteration")
