@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from screensift.llm.frames import chunks, text_of
 
 BUCKETS, ORDERS, SMOOTHING = 1 << 16, (1, 2, 3), 0.5
-#: About this many labelled documents train the model (all, if there are fewer), drawn by id hash.
-TRAINING_DOCS = 30_000
+#: About this many labelled documents train the model (all, if there are fewer), drawn by id hash and language:
+#: every language has an equal part of them, and what small languages leave goes to the larger ones. A language has
+#: at least MIN_PER_LANGUAGE rows (or all it has), also where many languages then exceed the total.
+TRAINING_DOCS, MIN_PER_LANGUAGE = 30_000, 500
 UNKNOWN = "und"
 #: Odd multipliers of the n-gram hash, one per order.
 _FACTORS = {1: np.uint32(2654435761), 2: np.uint32(2246822519), 3: np.uint32(3266489917), 4: np.uint32(668265263)}
@@ -41,10 +43,9 @@ def ngram_buckets(texts: list[str], fold: _Fold | None = None) -> tuple[np.ndarr
     fold = _Fold() if fold is None else fold
     clean = [t.lower().translate(fold) for t in texts]
     has = np.array([bool(c) and not c.isspace() for c in clean], bool)
-    joined = "  ".join(["", *clean, ""])
+    joined = "".join(f" {c} " for c in clean)  # every text has its own blank before and after
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     owner = np.repeat(np.arange(len(texts)), [len(c) + 2 for c in clean])
-    owner = np.concatenate([np.zeros(2, np.int64), owner])[:len(codes)]  # a text's separators count as its own
     blank = codes == 32
     rows, buckets = [], []
     for n in ORDERS:
@@ -84,9 +85,23 @@ class Model:
         return ([self.languages[b] if ok else UNKNOWN for b, ok in zip(best, has)], np.where(has, posterior, 0.0))
 
 
+def rows_each(docs: dict[str, int], max_docs: int, least: int = MIN_PER_LANGUAGE) -> int:
+    """Rows a language may train with: the level at which the languages' rows, cut to it, make ``max_docs``; ``least`` at least."""
+    left, sizes = max_docs, sorted(docs.values())
+    for i, n in enumerate(sizes):
+        if n * (len(sizes) - i) > left:
+            return max(least, left // (len(sizes) - i))
+        left -= n
+    return max(least, sizes[-1]) if sizes else least
+
+
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_docs: int = TRAINING_DOCS,
           key: Column | None = None) -> Model:
-    """Fit on labelled rows (NULL language: left out); about ``max_docs`` of them by hash of ``key`` (the text, if none)."""
+    """Fit on labelled rows (NULL language: left out); about ``max_docs`` of them by hash of ``key`` (the text, if none).
+
+    The draw is per language (see ``rows_each``), the priors are those of all rows. A language without a sampled
+    n-gram (its rows may share one hash, or have no letters) is never predicted.
+    """
     rows = labelled.where(F.col(f"`{lang_col}`").isNotNull()).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), text_of(f"`{text_col}`").alias("text"),
         F.xxhash64(F.lit("train"), text_of(f"`{text_col}`") if key is None else key).alias("draw"))
@@ -94,8 +109,11 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     total = sum(docs.values())
     if not total:
         return Model([], np.zeros(0), np.zeros((0, BUCKETS)))
-    if total > max_docs:
-        rows = rows.where(F.pmod("draw", F.lit(1 << 32)) < F.lit(int((1 << 32) * max_docs / total)))
+    each = rows_each(docs, max_docs)
+    bounds = {x: int((1 << 32) * each / n) for x, n in docs.items() if n > each}
+    if bounds:
+        bound = F.create_map(*[F.lit(v) for x in bounds.items() for v in x])[F.col("lang")]
+        rows = rows.where(F.pmod("draw", F.lit(1 << 32)) < F.coalesce(bound, F.lit(1 << 32)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -117,7 +135,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     counts = np.zeros((len(languages), BUCKETS))
     counts[[languages.index(x) for x in sums["lang"]], sums["bucket"]] = sums["n"]
     log_prob = np.log(counts + SMOOTHING) - np.log(counts.sum(1, keepdims=True) + SMOOTHING * BUCKETS)
-    return Model(languages, np.log(np.array([docs[x] for x in languages]) / total), log_prob)
+    prior = np.log(np.array([docs[x] for x in languages]) / total)
+    trained = counts.any(1)
+    return Model(languages, np.where(trained | ~trained.any(), prior, -np.inf), log_prob)
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

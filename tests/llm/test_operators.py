@@ -284,6 +284,21 @@ def test_language(spark, docs, edge, empty):
     assert langid.train(edge).languages == ["de", "en", "fr"]
 
 
+def test_rare_languages_train(spark):
+    rows = [(i, "en", f"the cat and the dog number {'abcdefghij'[i % 10]}") for i in range(6000)] + [(6000 + i, "xx", "qoph zayin vav") for i in range(3)]
+    rare = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.train(rare, max_docs=100, key=F.col("doc_id"))
+    assert model.languages == ["en", "xx"] and model.predict(["zayin qoph", "a dog and a cat"])[0] == ["xx", "en"]
+    assert np.exp(model.prior).round(4).tolist() == [0.9995, 0.0005]
+    assert langid.rows_each({"a": 1000, "b": 10, "c": 2000}, 500, 1) == 245 and langid.rows_each({"a": 5, "b": 1}, 30, 1) == 5
+
+
+def test_ngrams_do_not_depend_on_the_batch():
+    row, bucket, _ = langid.ngram_buckets(["one two", "", "one two", "one two"])
+    assert sorted(bucket[row == 0]) == sorted(bucket[row == 2]) == sorted(bucket[row == 3]) and not (row == 1).any()
+    assert sorted(langid.ngram_buckets(["one two"])[1]) == sorted(bucket[row == 0])
+
+
 def test_language_scores_like_a_plain_sum(spark, docs):
     model = langid.train(docs)
     texts = [r.text for r in docs.limit(20).collect()]
