@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from screensift.llm import cws, decontam, langid, license_scan, line_dedup, mixing, secret_scan, simhash, toxicity, warc
+from screensift.llm import cws, decontam, langid, license_scan, line_dedup, merkle, mixing, secret_scan, simhash, toxicity, warc
+from screensift.llm.sql import merkle_sql
 from screensift.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +175,14 @@ def op10_fingerprints(spark, sf_dir):
     return cws.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@_register("op11_merkle", merkle_sql(merkle.FANOUT))
+def op11_merkle(spark, sf_dir):
+    """Tampering: the text's A-Z in lower case where 5 divides the CRC-32 of the id."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.manifest(table(spark, sf_dir, "documents"), presented={"text": F.when(tampered, lower).otherwise(F.col("text"))})
+
+
 @_register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
