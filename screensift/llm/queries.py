@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from screensift.llm import cws, decontam, langid, license_scan, line_dedup, merkle, mixing, secret_scan, simhash, toxicity, warc
-from screensift.llm.sql import merkle_sql
+from screensift.llm import conversations, cws, decontam, langid, license_scan, line_dedup, merkle, mixing, secret_scan, simhash, toxicity, warc
+from screensift.llm.sql import merkle_sql, repair_sql
 from screensift.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,6 +183,11 @@ def op11_merkle(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"), presented={"text": F.when(tampered, lower).otherwise(F.col("text"))})
 
 
+@_register("op12_conversations", repair_sql())
+def op12_conversations(spark, sf_dir):
+    return conversations.repair(table(spark, sf_dir, "conversations"), edits=conversations.damage())
+
+
 @_register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
