@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from screensift.llm import conversations, cws, decontam, langid, license_scan, line_dedup, merkle, mixing, secret_scan, simhash, toxicity, warc
+from screensift.llm import conversations, cws, decontam, langid, license_scan, line_dedup, merkle, mixing, ngram_join, secret_scan, simhash, toxicity, warc
 from screensift.llm.sql import merkle_sql, repair_sql
 from screensift.sources.tables import table
 
@@ -188,6 +188,11 @@ def op12_conversations(spark, sf_dir):
     return conversations.repair(table(spark, sf_dir, "conversations"), edits=conversations.damage())
 
 
+@_register("op13_ngram_join")
+def op13_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @_register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
