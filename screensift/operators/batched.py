@@ -93,23 +93,22 @@ def training_weights(label: np.ndarray, role: np.ndarray, positive: np.ndarray)
 class Passes:
     """Loss, gradient and weight sum of columns of models over cached rows (label, indices, values, role)."""
 
-    def __init__(self, rows: DataFrame, n_features: int, models: np.ndarray, n_models: int, positive: np.ndarray):
-        self.rows, self.n_features, self.models, self.n_models, self.positive = rows, n_features, models, n_models, positive
-        self.spark = rows.sparkSession
+    def __init__(self, rows: DataFrame, roles: np.ndarray, n_roles: int, positive: np.ndarray):
+        self.rows, self.roles, self.n_roles, self.positive, self.spark = rows, roles, n_roles, positive, rows.sparkSession
 
     def __call__(self, theta: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``theta``: (features + 1, len(columns)) -> loss and weight sum a column, gradient."""
-        shared = self.spark.sparkContext.broadcast((theta, self.models[columns], self.positive[columns]))
-        n_models, width, cells = self.n_models, len(columns), max(1, STEP_CELLS // max(1, len(columns)))
+        shared = self.spark.sparkContext.broadcast((theta, self.roles[columns], self.positive[columns]))
+        n_roles, width, cells = self.n_roles, len(columns), max(1, STEP_CELLS // max(1, len(columns)))
 
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            theta, models, positive = shared.value
+            theta, roles, positive = shared.value
             grad, sums = np.zeros_like(theta), np.zeros((2, width))
             for big in batches:
                 for b in row_slices(big, cells):
                     start, idx, val = sparse_arrays(b)
                     y = b.column(b.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
-                    w = training_weights(y, fixed_arrays(b, "role", n_models, np.int8)[:, models], positive)
+                    w = training_weights(y, fixed_arrays(b, "role", n_roles, np.int8)[:, roles], positive)
                     sums[0] += _loss_and_gradient(start, idx, val, y, w, theta, grad)
                     sums[1] += w.sum(0)
             ranges, out = [-1], [sums.tobytes()]
@@ -146,7 +145,8 @@ class Passes:
         return sums[0], grad, sums[1]
 
 
-def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray, average: bool, max_iter: int, tol: float) -> np.ndarray:
+def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray, average: bool, max_iter: np.ndarray,
+             tol: float) -> np.ndarray:
     """Columns of parameters (the last row is the bias, without penalty) that minimise loss + l2/2 |t|^2 + l1 |t|.
 
     ``evaluate(theta, columns)`` gives loss, gradient and weight sum of the
@@ -177,9 +177,9 @@ def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray,
     steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     gamma = 1.0 / np.maximum(1e-12, np.sqrt((pg ** 2).sum(0)))
     open_ = np.nonzero(np.abs(pg).max(0) > 1e-12)[0]
-    for _ in range(max_iter):
-        if not len(open_):
-            break
+    done = 0
+    while len(open_ := open_[max_iter[open_] > done]):
+        done += 1
         q, alphas = pg[:, open_].copy(), []
         for s, d, rho in reversed(steps):
             alphas.append(rho[open_] * (s[:, open_] * q).sum(0))
@@ -228,72 +228,84 @@ def per_model(value, n_models: int) -> np.ndarray:
     return np.broadcast_to(np.asarray(value, float), (n_models,)).copy()
 
 
-def fit_logistic_many(rows: DataFrame, n_features: int, n_models: int, positive=1.0, l2=0.0, l1=0.0, average: bool = True,
-                      max_iter: int = 100, tol: float = 1e-9, block_cells: int = BLOCK_CELLS) -> np.ndarray:
-    """(features + 1, models) parameters of ``n_models`` logistic models over ``rows``.
+def fit_logistic_many(rows: DataFrame, n_features: int, n_roles: int, positive=1.0, l2=0.0, l1=0.0, average: bool = True,
+                      max_iter=100, tol: float = 1e-9, roles: Sequence[int] | None = None, block_cells: int = BLOCK_CELLS) -> np.ndarray:
+    """(features + 1, models) parameters of many logistic models over ``rows``.
 
-    ``rows``: (label, indices, values, role); ``role`` has a byte a model, TRAIN
-    where the row trains it. ``positive``, ``l2`` and ``l1`` hold for all models
-    or give one value each. The rows are read in every pass, so persist them.
-    Memory of the driver and of a task follows ``block_cells``, not the rows; a
-    model without training rows keeps zero parameters.
+    ``rows``: (label, indices, values, role); ``role`` has ``n_roles`` bytes. A
+    model trains on the rows whose role number ``roles[model]`` is TRAIN;
+    default is one model for each role. ``positive``, ``l2``, ``l1`` and
+    ``max_iter`` hold for all models or give one value each. The rows are read
+    in every pass, so persist them. Memory of the driver and of a task follows
+    ``block_cells``, not the rows; a model without training rows keeps zero
+    parameters.
     """
-    positive, l2, l1 = (per_model(v, n_models) for v in (positive, l2, l1))
+    roles = np.arange(n_roles) if roles is None else np.asarray(roles, int)
+    n_models = len(roles)
+    positive, l2, l1, max_iter = (per_model(v, n_models) for v in (positive, l2, l1, max_iter))
     out = np.zeros((n_features + 1, n_models))
     width = max(1, block_cells // (n_features + 1))
     for at in range(0, n_models, width):
         block = np.arange(at, min(n_models, at + width))
-        passes = Passes(rows, n_features, block, n_models, positive[block])
-        out[:, block] = minimise(passes, n_features + 1, len(block), l2[block], l1[block], average, max_iter, tol)
+        passes = Passes(rows, roles[block], n_roles, positive[block])
+        out[:, block] = minimise(passes, n_features + 1, len(block), l2[block], l1[block], average, max_iter[block], tol)
     return out
 
 
-def score_many(rows: DataFrame, theta: np.ndarray, roles: Sequence[int] = (TRAIN, VALID), block_cells: int = BLOCK_CELLS) -> DataFrame:
-    """(doc_id, label, indices, values, role) -> (model, split, doc_id, label, score) of every model a row has one of ``roles`` in; narrow."""
-    n_models = theta.shape[1]
-    width = max(1, block_cells // len(theta))
-    out = None
-    for at in range(0, n_models, width):
-        block = _score_block(rows, theta[:, at:at + width], at, n_models, tuple(roles))
+def score_many(rows: DataFrame, theta: np.ndarray, n_roles: int, roles: Sequence[int] | None = None, splits: Sequence[int] = (TRAIN, VALID),
+               block_cells: int = BLOCK_CELLS) -> DataFrame:
+    """(model, split, doc_id, label, score) of every row under the models in which its role is one of ``splits``; narrow."""
+    roles = np.arange(n_roles) if roles is None else np.asarray(roles, int)
+    width, out = max(1, block_cells // len(theta)), None
+    for at in range(0, len(roles), width):
+        shared = rows.sparkSession.sparkContext.broadcast((theta[:, at:at + width], roles[at:at + width]))
+        block = _score_block(rows, shared, at, n_roles, tuple(splits))
         out = block if out is None else out.unionByName(block)
     return out
 
 
-def _score_block(rows: DataFrame, theta: np.ndarray, first: int, n_models: int, roles: tuple[int, ...]) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(theta)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-
+def _score_block(rows: DataFrame, shared, first: int, n_roles: int, splits: tuple[int, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        theta = shared.value
+        theta, roles = shared.value
         for big in batches:
             for b in row_slices(big, max(1, STEP_CELLS // theta.shape[1])):
                 z = margins(*sparse_arrays(b), theta)
-                yield from scored_rows(b, z, first, n_models, roles)
+                yield from scored_rows(b, z, roles, first + np.arange(len(roles)), n_roles, splits)
 
-    return rows.select("doc_id", "label", "indices", "values", "role").mapInArrow(run, scored_schema(id_type))
+    return rows.select("doc_id", "label", "indices", "values", "role").mapInArrow(run, scored_schema(rows))
 
 
-def scored_schema(id_type: str) -> str:
-    return f"model int, split string, doc_id {id_type}, label int, score double"
+def scored_schema(rows: DataFrame) -> str:
+    return f"model int, split string, doc_id {rows.schema['doc_id'].dataType.simpleString()}, label int, score double"
 
 
-def scored_rows(b: pa.RecordBatch, z: np.ndarray, first: int, n_models: int, roles: Sequence[int]) -> Iterator[pa.RecordBatch]:
-    """One row for each model (from ``first`` on) in which a row of the batch has one of ``roles``."""
-    role = fixed_arrays(b, "role", n_models, np.int8)[:, first:first + z.shape[1]]
+def scored_rows(b: pa.RecordBatch, z: np.ndarray, roles: np.ndarray, models: np.ndarray, n_roles: int, splits: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """A row for each column of ``z`` (numbered by ``models``) and batch row whose role number ``roles`` is one of ``splits``."""
+    role = fixed_arrays(b, "role", n_roles, np.int8)[:, roles]
+    names = np.array(["none", "train", "valid"])
     for at in range(0, len(z), 1 << 10):
-        row, model = np.nonzero(np.isin(role[at:at + (1 << 10)], roles))
+        row, model = np.nonzero(np.isin(role[at:at + (1 << 10)], splits))
         row += at
-        splits = np.array(["none", "train", "valid"])[role[row, model]]
         take = pa.array(row)
         yield pa.RecordBatch.from_arrays(
-            [pa.array((model + first).astype(np.int32)), pa.array(splits.tolist(), pa.string()), b.column(0).take(take),
+            [pa.array(models[model].astype(np.int32)), pa.array(names[role[row, model]].tolist(), pa.string()), b.column(0).take(take),
              b.column(1).take(take).cast(pa.int32()), pa.array(z[row, model])], ["model", "split", "doc_id", "label", "score"])
 
 
+def sparse_columns(features: str = "features") -> tuple:
+    """``indices`` and ``values`` of a vector column; dense vectors are read as sparse."""
+    v = F.unwrap_udt(features)
+    dense = F.when(F.size(v["values"]) > 0, F.sequence(F.lit(0), F.size(v["values"]) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(v["indices"], dense).alias("indices"), v["values"].alias("values")
+
+
 def sparse_rows(features: DataFrame, roles: DataFrame) -> DataFrame:
-    """(doc_id, features) and (doc_id, label, role) -> (doc_id, label DOUBLE, indices, values, role); dense vectors are read as sparse."""
-    v = F.unwrap_udt("features")
-    dense = F.sequence(F.lit(0), F.size(v["values"]) - 1)
-    idx = F.coalesce(v["indices"], F.when(F.size(v["values"]) > 0, dense).otherwise(F.array().cast("array<int>")))
-    return features.select("doc_id", idx.alias("indices"), v["values"].alias("values")).join(
+    """(doc_id, features) and (doc_id, label, role) -> (doc_id, label DOUBLE, indices, values, role)."""
+    return features.select("doc_id", *sparse_columns()).join(
         roles.select("doc_id", F.col("label").cast("double").alias("label"), F.col("role").cast("array<tinyint>").alias("role")), "doc_id")
+
+
+def n_features(features: DataFrame) -> int:
+    """Length of the vectors (0 without rows)."""
+    v = F.unwrap_udt("features")
+    return int(features.select(F.max(F.coalesce(v["size"], F.size(v["values"]))).alias("n")).first()["n"] or 0)

@@ -12,12 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -26,18 +21,17 @@ from pyspark.sql import functions as F
 from screensift.functions import text as tx
 from screensift.functions.fourier import FourierMap, fourier_array
 from screensift.operators import tfidf as tf
+from screensift.operators.boosting import NAMES, Boosting, growth
 from screensift.operators.tfidf import vectorizer  # noqa: F401
 
 MAX_TREE_DEPTH = 30  # Spark ML limit
 MAX_SVC_ITERATIONS = 1000  # for an SVC asked to run without a limit
 SVC_KERNELS = ("linear", "rbf")
-#: Model names a job may ask for, and the estimator family behind each.
-FAMILIES = {"xgboost": "boosted trees or linear booster", "lightgbm": "boosted trees",
-            "RandomForestClassifier": "forest", "SVC": "support vectors"}
-
+#: Parameters of a kernel besides gamma.
+KERNEL_PARAMS: dict[str, tuple] = {}
 
 class UnknownModel(ValueError):
-    """A job asks for a model that no estimator family serves."""
+    """A job asks for a model that no builder serves."""
 
 
 # ---- features --------------------------------------------------------------------
@@ -90,77 +84,95 @@ def effective_params(model_name: str, params: Mapping | None) -> dict:
     return p
 
 
+class _Parameters:
+    """Parameters of one model; remembers which of them were read."""
+
+    def __init__(self, model_name: str, params: Mapping | None, weight_sum: float | None, positive: float):
+        self.values, self.weight_sum, self.positive = effective_params(model_name, params), weight_sum, positive
+        self.read: set[str] = set()
+
+    def take(self, key: str, default):
+        self.read.add(key)
+        return _num(self.values, key, default)
+
+    @property
+    def ignored(self) -> tuple:
+        return tuple(sorted(k for k in self.values if k not in self.read))
+
+
+def _boosted(name: str, p: _Parameters, common: dict):
+    p.read |= set(NAMES[name]) | {"scale_pos_weight"}  # positives weigh what the fit is told
+    return Boosting(growth(name, p.values), p.positive, common["labelCol"])
+
+
+def linear_penalties(params: Mapping) -> tuple[float, float, int]:
+    """(L2, L1, rounds) of the linear booster; both libraries add the penalty to the weighted mean loss."""
+    return float(_num(params, "reg_lambda", 0.0)), float(_num(params, "reg_alpha", 0.0)), int(_num(params, "n_estimators", 100))
+
+
+def _linear_booster(p: _Parameters, common: dict):
+    lam, alpha, rounds = linear_penalties(p.values)
+    p.read |= {"reg_lambda", "reg_alpha", "n_estimators"}
+    return LogisticRegression(regParam=lam + alpha, elasticNetParam=(alpha / (lam + alpha)) if lam + alpha > 0 else 0.0,
+                              maxIter=rounds, standardization=False, **common)
+
+
+def _xgboost(p: _Parameters, common: dict):
+    booster = p.take("booster", "gbtree")
+    if booster == "gbtree":
+        return _boosted("xgboost", p, common)
+    if booster == "gblinear":
+        return _linear_booster(p, common)
+    raise ValueError("dart booster is not supported" if booster == "dart" else f"unknown booster {booster}")
+
+
+def _lightgbm(p: _Parameters, common: dict):
+    if p.take("boosting", "gbdt") != "gbdt":
+        raise ValueError("only gbdt boosting is supported")
+    return _boosted("lightgbm", p, common)
+
+
+def _random_forest(p: _Parameters, common: dict):
+    return RandomForestClassifier(
+        numTrees=int(p.take("n_estimators", 100)), maxDepth=int(p.take("max_depth", MAX_TREE_DEPTH)),
+        featureSubsetStrategy=str(p.take("max_features", "sqrt")), impurity=str(p.take("criterion", "gini")),
+        minInstancesPerNode=int(p.take("min_samples_leaf", 1)), bootstrap=bool(p.take("bootstrap", True)),
+        seed=int(p.take("random_state", 0) or 0), **common)
+
+
+def _svc(p: _Parameters, common: dict):
+    kernel = p.take("kernel", "linear")
+    if kernel not in SVC_KERNELS:
+        raise ValueError(f"SVC kernel {kernel!r} is not supported on Spark ({', '.join(SVC_KERNELS)} only)")
+    p.read |= {"gamma", *KERNEL_PARAMS.get(kernel, ())}
+    return LinearSVC(regParam=1.0 / (float(p.take("C", 1.0)) * float(p.weight_sum or 1)), tol=float(p.take("tol", 1e-3)),
+                     maxIter=int(p.take("max_iter", 100)), standardization=False, **common)
+
+
+#: Model name a job may ask for -> what builds its estimator from the parameters.
+BUILDERS = {"xgboost": _xgboost, "lightgbm": _lightgbm, "RandomForestClassifier": _random_forest, "SVC": _svc}
+
+
 def make_estimator(model_name: str, params: Mapping | None = None, weight_sum: float | None = None,
                    weight_col: str | None = "weight", features_col: str = "features",
-                   label_col: str = "label_d"):
-    """M1: model name + reference-style parameters -> Spark ML estimator.
+                   label_col: str = "label_d", positive: float = 1.0):
+    """M1: model name + reference-style parameters -> estimator.
 
-    Returns (estimator, ignored parameter names). Parameters with no Spark ML
+    Returns (estimator, ignored parameter names). Parameters without a
     counterpart are reported, not silently dropped. ``weight_sum`` is the sum of
     the training rows' weights: the SVC's C multiplies a sum of losses, Spark's
-    penalty goes with their weighted mean.
+    penalty goes with their weighted mean. Boosted trees weigh positives by
+    ``positive``, Spark's estimators read ``weight_col``.
     """
-    if model_name not in FAMILIES:
-        raise UnknownModel(f"no estimator for {model_name!r}; known: {', '.join(sorted(FAMILIES))}")
-    p = effective_params(model_name, params)
+    builder = BUILDERS.get(model_name)
+    if builder is None:
+        raise UnknownModel(f"no estimator for {model_name!r}; known: {', '.join(sorted(BUILDERS))}")
+    p = _Parameters(model_name, params, weight_sum, positive)
     common = dict(featuresCol=features_col, labelCol=label_col)
     if weight_col:
         common["weightCol"] = weight_col
-    used: set[str] = set()
-
-    def take(key, default):
-        used.add(key)
-        return _num(p, key, default)
-
-    if model_name == "lightgbm":
-        est = GBTClassifier(
-            maxIter=int(take("num_iterations", 100)),
-            maxDepth=int(take("max_depth", 5)),
-            stepSize=float(take("learning_rate", 0.1)),
-            minInstancesPerNode=int(take("min_data_in_leaf", 1)),
-            minInfoGain=float(take("min_gain_to_split", 0.0)),
-            subsamplingRate=float(take("bagging_fraction", 1.0)),
-            seed=int(take("seed", 0)), **common)
-    elif model_name == "xgboost":
-        booster = take("booster", "gbtree")
-        if booster == "gblinear":
-            # both libraries add the penalty to the weighted mean loss
-            lam, alpha = float(take("reg_lambda", 0.0)), float(take("reg_alpha", 0.0))
-            est = LogisticRegression(
-                regParam=lam + alpha, elasticNetParam=(alpha / (lam + alpha)) if lam + alpha > 0 else 0.0,
-                maxIter=int(take("n_estimators", 100)), standardization=False, **common)
-        elif booster in ("gbtree", "dart"):
-            if booster == "dart":
-                raise ValueError("dart booster has no Spark ML equivalent")
-            est = GBTClassifier(
-                maxIter=int(take("n_estimators", 100)),
-                maxDepth=int(take("max_depth", 6)),
-                stepSize=float(take("learning_rate", 0.3)),
-                subsamplingRate=float(take("subsample", 1.0)),
-                minInfoGain=float(take("gamma", 0.0)),
-                seed=int(take("seed", 0)), **common)
-        else:
-            raise ValueError(f"unknown booster {booster}")
-    elif model_name == "RandomForestClassifier":
-        est = RandomForestClassifier(
-            numTrees=int(take("n_estimators", 100)),
-            maxDepth=int(take("max_depth", MAX_TREE_DEPTH)),
-            featureSubsetStrategy=str(take("max_features", "sqrt")),
-            impurity=str(take("criterion", "gini")),
-            minInstancesPerNode=int(take("min_samples_leaf", 1)),
-            bootstrap=bool(take("bootstrap", True)),
-            seed=int(take("random_state", 0) or 0), **common)
-    else:  # SVC
-        kernel = take("kernel", "linear")
-        if kernel not in SVC_KERNELS:
-            raise ValueError(f"SVC kernel {kernel!r} is not supported on Spark (linear, rbf only)")
-        c = float(take("C", 1.0))
-        take("gamma", None)
-        est = LinearSVC(regParam=1.0 / (c * float(weight_sum or 1)), tol=float(take("tol", 1e-3)),
-                        maxIter=int(take("max_iter", 100)),
-                        standardization=False, **common)
-    ignored = tuple(sorted(k for k in p if k not in used))
-    return est, ignored
+    est = builder(p, common)
+    return est, p.ignored
 
 
 def rff_features(matrix: DataFrame, docs: DataFrame, gamma: float, n_components: int = 128,
@@ -194,7 +206,7 @@ def fit(train: DataFrame, model_name: str, params: Mapping | None = None, n_rows
         est, ignored = make_estimator(model_name, params, weight_sum, weight_col=wcol,
                                       features_col=fmap.getOutputCol())
         return PipelineModel(stages=[fmap, est.fit(fmap.transform(df))]), ignored
-    est, ignored = make_estimator(model_name, params, weight_sum, weight_col=wcol)
+    est, ignored = make_estimator(model_name, params, weight_sum, weight_col=wcol, positive=1.0 if weight is None else float(weight))
     return est.fit(df), ignored
 
 

@@ -21,7 +21,8 @@ from screensift.sources import tables as tb
 from screensift.sources.tables import SQL_PROXY_SCORES, proxy_scores
 
 CV_FOLDS, CV_REPEATS = 3, 3
-SMALL_GBT = {"num_iterations": 10, "max_depth": 3, "learning_rate": 0.3}
+#: The linear booster with a ridge penalty (without one, separable rows have no finite fit); all else by default.
+LINEAR = {"booster": "gblinear", "reg_lambda": 1e-3}
 
 
 def R(c):
@@ -40,23 +41,22 @@ def _fit_and_score(spark, sf, model_name, params):
 
 @register("fit_model")
 def q_fit_model(spark, sf):
-    return _fit_and_score(spark, sf, "lightgbm", SMALL_GBT)
+    return _fit_and_score(spark, sf, "lightgbm", {})
 
 
 @register("fit_gbt")
 def q_fit_gbt(spark, sf):
-    return _fit_and_score(spark, sf, "xgboost", {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3})
+    return _fit_and_score(spark, sf, "xgboost", {})
 
 
 @register("fit_linear")
 def q_fit_linear(spark, sf):
-    return _fit_and_score(spark, sf, "xgboost", {"booster": "gblinear", "reg_lambda": 1.0, "reg_alpha": 1e-4,
-                                                 "n_estimators": 50})
+    return _fit_and_score(spark, sf, "xgboost", {"booster": "gblinear", "reg_lambda": 1.0, "reg_alpha": 1e-4})
 
 
 @register("fit_forest")
 def q_fit_forest(spark, sf):
-    return _fit_and_score(spark, sf, "RandomForestClassifier", {"n_estimators": 20, "max_depth": 5})
+    return _fit_and_score(spark, sf, "RandomForestClassifier", {})
 
 
 @register("fit_svc")
@@ -72,35 +72,32 @@ def q_fit_svc_rbf(spark, sf):
 @register("score_rows")
 def q_score_rows(spark, sf):
     f = fx.prepare(spark, sf)
-    model, _ = md.fit(f.labelled, "xgboost", {"booster": "gblinear", "n_estimators": 50}, n_rows=f.labelled.count())
+    model, _ = md.fit(f.labelled, "xgboost", LINEAR, n_rows=f.labelled.count())
     return md.raw_threshold_predict(model, f.unlabelled, 0.0).select("doc_id", "score", "pred")
 
 
 @register("cv_scores")
 def q_cv_scores(spark, sf):
     f = fx.prepare(spark, sf)
-    return cv.cv_scores(spark, f.labelled, f.labels, "xgboost", {"booster": "gblinear", "n_estimators": 30},
-                        nfolds=3, repeats=1)
+    return cv.cv_scores(spark, f.labelled, f.labels, "xgboost", LINEAR)
 
 
 @register("cv_metrics")
 def q_cv_metrics(spark, sf):
     f = fx.prepare(spark, sf)
-    return cv.cv_metrics(spark, f.labelled, f.labels, "xgboost", {"booster": "gblinear", "n_estimators": 30},
-                         nfolds=3, repeats=2, threshold=0.0)
+    return cv.cv_metrics(spark, f.labelled, f.labels, "xgboost", LINEAR, repeats=2, threshold=0.0)
 
 
 @register("learning_curve")
 def q_learning_curve(spark, sf):
     f = fx.prepare(spark, sf)
-    return cv.learning_curve(spark, f.labelled, f.labels, "xgboost",
-                             {"booster": "gblinear", "n_estimators": 20})
+    return cv.learning_curve(spark, f.labelled, f.labels, "xgboost", LINEAR)
 
 
 @register("auc_by_iteration")
 def q_auc_by_iteration(spark, sf):
     f = fx.prepare(spark, sf)
-    model, _ = md.fit(f.labelled, "lightgbm", SMALL_GBT, weight=None)
+    model, _ = md.fit(f.labelled, "lightgbm", {}, weight=None)
     return cv.auc_by_iteration(model, f.labelled)
 
 

@@ -53,7 +53,7 @@ def test_batched_logistic_equals_single_fits(data):
         assert np.abs(theta[:, m] - want).max() < 1e-5 and np.abs(blocks[:, m] - want).max() < 1e-5
     assert ((theta[:-1, 2] == 0) == (plain_logistic(X, y, (role[:, 2] == 1) * np.where(y > 0, 3.0, 1.0), 0.02, 0.01)[:-1] == 0)).all()
     assert not theta[:, 3].any()
-    got = {(r.model, r.doc_id): (r.split, r.score) for r in B.score_many(rows, theta).collect()}
+    got = {(r.model, r.doc_id): (r.split, r.score) for r in B.score_many(rows, theta, 4).collect()}
     assert len(got) == (role > 0).sum()
     for (m, i), (split, score) in got.items():
         assert split == ["none", "train", "valid"][role[i, m]]
@@ -121,7 +121,7 @@ def test_boosting_equals_plain_version(spark, data, name, params):
     X, y, role, rows = data
     p = G.growth(name, params)
     forests = G.fit_forests(rows, 4, [G.Job(0, 1.5, p), G.Job(1, 1.0, p), G.Job(3, 1.0, p)])
-    got = {(r.model, r.doc_id): r.score for r in G.score_forests(rows, 4, {0: forests[0], 1: forests[1]}).collect()}
+    got = {(r.model, r.doc_id): r.score for r in G.score_forests(rows, forests[:2], 4, [0, 1]).collect()}
     for m, positive in ((0, 1.5), (1, 1.0)):
         keep = np.nonzero(role[:, m] == 1)[0]
         want = plain_forest(X[keep], y[keep], np.where(y[keep] > 0, positive, 1.0), p)
@@ -149,7 +149,7 @@ def test_saved_stage_scores_alike(spark, data, tmp_path):
     stage.write().overwrite().save(str(tmp_path / "stage"))
     vectors = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "doc_id long, x array<double>").select(
         "doc_id", array_to_vector("x").alias("features"))
-    want = {r.doc_id: r.score for r in G.score_forests(rows, 4, {0: forest}).collect()}
+    want = {r.doc_id: r.score for r in G.score_forests(rows, [forest], 4, [0]).collect()}
     out = G.BoostedTrees.load(str(tmp_path / "stage")).transform(vectors).select("doc_id", vector_to_array("rawPrediction")[1].alias("score"))
     got = {r.doc_id: r.score for r in out.collect()}
     assert all(abs(got[i] - v) < 1e-9 for i, v in want.items())

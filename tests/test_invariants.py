@@ -1,5 +1,6 @@
 """Invariants of the operators on the test tables."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,33 @@ def test_tree_shap_additivity(spark):
     assert err < 1e-9
 
 
+def test_tree_shap_equals_coalition_sums():
+    from itertools import combinations
+    from math import factorial
+
+    from screensift.operators.boosting import Growth, fit_forest
+
+    rng = np.random.default_rng(5)
+    x = (rng.random((60, 5)) < 0.6) * rng.integers(1, 6, (60, 5)).astype(float)
+    y = (x[:, 0] - x[:, 1] * (x[:, 2] > 2) + x[:, 3] > 2).astype(float)
+
+    def sparse(m):
+        return np.concatenate([[0], np.cumsum((m != 0).sum(1))]), np.nonzero(m)[1], m[m != 0]
+
+    forest = fit_forest(*sparse(x), y, np.ones(60), Growth(rounds=6, depth=4, l2=0.1, least_hessian=0.1))
+    conditions = X.LeafConditions(forest)
+    row, feature, phi = conditions.shap(*sparse(x))
+    got = np.zeros_like(x)
+    got[row, feature] = phi
+    assert abs(conditions.base - forest.margin(*sparse(np.zeros((1, 5))))[0]) < 1e-12
+    for i in range(20):
+        parts = {c: np.where(np.isin(range(5), c), x[i], 0.0) for k in range(6) for c in combinations(range(5), k)}
+        value = dict(zip(parts, forest.margin(*sparse(np.array(list(parts.values()))))))
+        for j in range(5):
+            want = sum(factorial(len(c)) * factorial(4 - len(c)) / factorial(5) * (value[tuple(sorted((*c, j)))] - value[c]) for c in value if j not in c)
+            assert abs(got[i, j] - want) < 1e-12
+
+
 def test_forest_shap_additivity(spark):
     f = fx.prepare(spark, SMOKE)
     model, _ = md.fit(f.labelled, "RandomForestClassifier", {"n_estimators": 6, "max_depth": 4}, weight=None)
