@@ -18,13 +18,17 @@ documents have words of their own.
 
 Candidates are verified on the whole sets. A star round joins every document of
 a block to its first one, which settles groups of copies with as many pairs as
-documents; the full round then compares, filtered by dense parity sketches, only
-documents of a block that are still in different components.
+documents. Then, among documents of a block that are still in different
+components, each meets its nearest ones by dense parity sketches (whose distance
+is never more than the sets'), one first, and more in every
+further round over the blocks that have more; the rounds end when every
+candidate between different components has been verified.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,17 +57,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(text: str, words_each: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the lower-cased (A-Z) word shingles; fewer words: the whole sequence; none: empty."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and ASCII white space only
-    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    if not len(w):
-        return w
-    width = min(words_each, len(w))
-    h = np.full(len(w) - width + 1, width, np.uint64)
+def _hashes(w: np.ndarray, width: int) -> np.ndarray:
+    """One hash for each ``width`` consecutive word hashes."""
+    h = np.full(max(0, len(w) - width + 1), width, np.uint64)
     for i in range(width):
         h = mixed(h + w[i:len(w) - width + 1 + i] * _ODD)
-    return np.unique(h)
+    return h
+
+
+def shingle_sets(texts: list[str | None], words_each: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its lower-cased (A-Z) word shingles; fewer words: the whole sequence; none: empty."""
+    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]  # bytes: ASCII case and white space only
+    start = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int64)
+    w = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(words)), np.uint64, int(start[-1]))
+    every, out = _hashes(w, words_each), []
+    for lo, hi in zip(start[:-1], start[1:]):
+        if hi - lo >= words_each:
+            h = np.sort(every[lo:hi - words_each + 1])
+            out.append(h[np.concatenate([[True], h[1:] != h[:-1]])])
+        else:
+            out.append(_hashes(w[lo:hi], int(hi - lo)) if hi > lo else w[:0])
+    return out
 
 
 def set_digest(tokens: np.ndarray) -> int:
@@ -104,18 +118,30 @@ class Bands:
         return [b for b in [own, *below] if self.differing(b)]  # no difference allowed: equal sets only
 
 
-def block_keys(tokens: np.ndarray, light: np.ndarray, band: int, differing: int) -> np.ndarray:
-    """Keys of the ``differing + 1`` richest blocks of the set's sketch in ``band``."""
-    blocks = max(-(-(differing + 1) * 5 // 4), differing + 4)
-    place = (mixed(tokens ^ np.uint64(band)) % np.uint64(blocks)).astype(np.int64)
-    order = np.argsort(place, kind="stable")
-    filled, first = np.unique(place[order], return_index=True)
-    parity, rich = np.zeros(blocks, np.uint64), np.zeros(blocks, np.int64)
-    parity[filled] = np.bitwise_xor.reduceat(tokens[order], first)
-    rich[filled] = 1 + 2 * np.add.reduceat(light[order].astype(np.int64), first)
-    at = np.arange(blocks, dtype=np.uint64) | (np.uint64(band) << np.uint64(48))
+def n_blocks(differing: np.ndarray) -> np.ndarray:
+    return np.maximum(-(-(differing + 1) * 5 // 4), differing + 4)
+
+
+def block_keys(tokens: np.ndarray, light: np.ndarray, size: np.ndarray, band: np.ndarray, differing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(set, key) of the ``differing + 1`` richest blocks of each set's sketch in its ``band``.
+
+    ``tokens`` and ``light`` (not frequent) of all sets one after the other, ``size`` tokens each.
+    """
+    blocks, owner = n_blocks(differing), np.repeat(np.arange(len(size)), size)
+    first = np.concatenate([[0], np.cumsum(blocks)[:-1]]).astype(np.int64)
+    place = first[owner] + (mixed(tokens ^ band.astype(np.uint64)[owner]) % blocks.astype(np.uint64)[owner]).astype(np.int64)
+    total = int(blocks.sum())
+    parity = np.zeros(total, np.uint64)
+    np.bitwise_xor.at(parity, place, tokens)
+    rich = (np.bincount(place, minlength=total) > 0) + 2 * np.bincount(place, light, total).astype(np.int64)
+    of = np.repeat(np.arange(len(size)), blocks)
+    at = (np.arange(total) - first[of]).astype(np.uint64) | (band.astype(np.uint64)[of] << np.uint64(48))
     key = mixed(parity + mixed(at))
-    return key[np.lexsort((key, rich))[-(differing + 1):]]
+    # the order within a set is by richness, then by key: both follow from the block's content alone
+    order = np.lexsort((key, rich, of))
+    left = np.repeat(np.cumsum(blocks), blocks) - np.arange(total)  # blocks of the set from here on, in that order
+    chosen = order[left <= (differing + 1)[of]]
+    return of[chosen], key[chosen]
 
 
 class Frequent:
@@ -156,8 +182,7 @@ def _sets(docs: DataFrame, words_each: int, counters: int) -> DataFrame:
         frequent = Frequent(counters)
         for b in chunks(batches, "text"):
             sizes, reps = [], []
-            for text in b.column("text").to_pylist():
-                tokens = shingle_set(text or "", words_each)
+            for tokens in shingle_sets(b.column("text").to_pylist(), words_each):
                 frequent.add(tokens)
                 sizes.append(len(tokens))
                 reps.append(set_digest(tokens))
@@ -181,23 +206,26 @@ def _blocks(docs: DataFrame, frequent: np.ndarray, share: int, words_each: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(share), set()
         for b in chunks(batches, "text"):
-            keys, reps = [], []
-            for text in b.column(0).to_pylist():
-                tokens = shingle_set(text or "", words_each)
+            sets, reps, band = [], [], []
+            for tokens in shingle_sets(b.column(0).to_pylist(), words_each):
                 rep = set_digest(tokens)
                 if not len(tokens) or rep in seen:
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(rep)
-                light = np.ones(len(tokens), bool)
-                if len(frequent):
-                    light = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] != tokens
-                for band in bands.sketches(len(tokens)):
-                    keys.append(block_keys(tokens, light, band, bands.differing(band)))
-                    reps.append(np.full(len(keys[-1]), rep, np.uint64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([_long(np.concatenate(keys)), _long(np.concatenate(reps))], ["key", "rep"])
+                for k in bands.sketches(len(tokens)):
+                    sets.append(tokens)
+                    reps.append(rep)
+                    band.append(k)
+            if not sets:
+                continue
+            tokens = np.concatenate(sets)
+            light = np.ones(len(tokens), bool)
+            if len(frequent):
+                light = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] != tokens
+            of, key = block_keys(tokens, light, np.array([len(t) for t in sets]), np.array(band), np.array([bands.differing(k) for k in band]))
+            yield pa.RecordBatch.from_arrays([_long(key), _long(np.array(reps, np.uint64)[of])], ["key", "rep"])
 
     return docs.select("text").mapInArrow(run, "key bigint, rep bigint")
 
@@ -254,7 +282,7 @@ def _involved(docs: DataFrame, sets: DataFrame, reps: DataFrame, words_each: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text", 1 << 20):
-            found = [shingle_set(text or "", words_each) for text in b.column(0).to_pylist()]
+            found = shingle_sets(b.column(0).to_pylist(), words_each)
             yield pa.RecordBatch.from_arrays(
                 [_long(np.array([set_digest(t) for t in found], np.uint64)), pa.array([len(t) for t in found], pa.int64()),
                  pa.array([dense_sketch(t) for t in found], pa.binary()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))],
@@ -275,31 +303,40 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return met.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * share).select("a", "b")
 
 
+#: Nearest candidates a member may have verified: one in the first round, so many times more in each further one.
+ROUND_FACTOR = 64
 #: Members of a block compared in one task; larger blocks are dealt into cells of two slices each.
 CELL = 1 << 12
 
 
-def _near_in_cells(members: DataFrame, share: int) -> DataFrame:
-    """(key, i, j, slice, rep, root, n, sketch) -> pairs (a, b) of different roots whose sketches allow a link."""
+def _near_in_cells(members: DataFrame, share: int, keep: int) -> DataFrame:
+    """(key, i, j, slice, rep, root, n, sketch) -> for each member its ``keep`` nearest of other roots whose sketches allow a link, as pairs (a, b);
+    and a row (key) for each cell in which a member has more of them."""
 
-    def compare(slices, rep, root, n, sketch) -> Iterator[pa.RecordBatch]:
+    def compare(key, slices, rep, root, n, sketch) -> Iterator[pa.RecordBatch]:
         rep, root, n, slices = (np.array(x) for x in (rep, root, n, slices))
-        words = folded(sketch)
-        halves = slices.min() != slices.max()
+        words, halves, more = folded(sketch), slices.min() != slices.max(), False
         left, right = [], []
-        for x in range(len(rep) - 1):
-            rest = slice(x + 1, None)
-            near = (root[rest] != root[x]) & (np.minimum(n[rest], n[x]) * 100 >= np.maximum(n[rest], n[x]) * share)
+        for x in range(len(rep)):
+            near = (root != root[x]) & (np.minimum(n, n[x]) * 100 >= np.maximum(n, n[x]) * share)
             if halves:
-                near &= slices[rest] != slices[x]
-            y = np.nonzero(near)[0] + x + 1
-            if len(y):
-                apart = np.bitwise_count(words[y] ^ words[x]).sum(1, dtype=np.int64)
-                y = y[apart * (100 + share) <= (n[y] + n[x]) * (100 - share)]
-                left.append(np.minimum(rep[y], rep[x]))
-                right.append(np.maximum(rep[y], rep[x]))
+                near &= slices != slices[x]
+            y = np.nonzero(near)[0]
+            if not len(y):
+                continue
+            apart = np.bitwise_count(words[y] ^ words[x]).sum(1, dtype=np.int64)
+            ok = apart * (100 + share) <= (n[y] + n[x]) * (100 - share)
+            y, apart = y[ok], apart[ok]
+            if len(y) > keep:
+                more = True
+                y = y[np.lexsort((rep[y], apart / (n[y] + n[x])))[:keep]]
+            left.append(np.minimum(rep[y], rep[x]))
+            right.append(np.maximum(rep[y], rep[x]))
         if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+            a, b = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], ["a", "b", "key"])
+        if more:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key], pa.int64())], ["a", "b", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, rows = None, []
@@ -307,28 +344,35 @@ def _near_in_cells(members: DataFrame, share: int) -> DataFrame:
             for *now, slice_, rep, root, n, sketch in zip(*(c.to_pylist() for c in batch.columns)):
                 if now != cell:
                     if len(rows) > 1:
-                        yield from compare(*zip(*rows))
+                        yield from compare(cell[0], *zip(*rows))
                     cell, rows = now, []
                 rows.append((slice_, rep, root, n, sketch))
         if len(rows) > 1:
-            yield from compare(*zip(*rows))
+            yield from compare(cell[0], *zip(*rows))
 
     dealt = members.repartition(shuffle_partitions(members), "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
-    return dealt.select("key", "i", "j", "slice", "rep", "root", "n", "sketch").mapInArrow(run, "a bigint, b bigint")
+    return dealt.select("key", "i", "j", "slice", "rep", "root", "n", "sketch").mapInArrow(run, "a bigint, b bigint, key bigint")
 
 
-def _across(shared: DataFrame, roots: DataFrame, sets: DataFrame, share: int, cell: int) -> DataFrame:
-    """Candidate pairs between components: blocks whose members are not in one component yet, each set of members once."""
+def _open_blocks(shared: DataFrame, roots: DataFrame, only: DataFrame | None) -> DataFrame:
+    """(key, rep) -> (key, rep, root, members) of the blocks (of ``only``) whose members are not in one component yet, each set of members once."""
     rooted = shared.select("key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     rooted = materialise(rooted, "rooted-blocks")
     per_key = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"),
-                                        F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
-    open_keys = per_key.where("lo < hi").groupBy("members", "x", "y").agg(F.min("key").alias("key")).select("key", "members")
+                                        F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")).where("lo < hi")
+    if only is not None:
+        per_key = per_key.join(only, "key", "left_semi")
+    keys = per_key.groupBy("members", "x", "y").agg(F.min("key").alias("key")).select("key", "members")
+    return materialise(rooted.join(keys, "key"), "open-blocks")
+
+
+def _candidates(blocks: DataFrame, sets: DataFrame, share: int, cell: int, keep: int) -> DataFrame:
+    """Candidates between components, as ``_near_in_cells``; blocks of more than ``cell`` members are dealt into cells of two slices."""
     slices = F.ceil(F.col("members") / cell).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(2)), slices.cast("bigint")).cast("int")
-    dealt = rooted.join(open_keys, "key").withColumn("slice", own).withColumn("other", F.explode(F.sequence(F.lit(0), slices - 1)))
+    dealt = blocks.withColumn("slice", own).withColumn("other", F.explode(F.sequence(F.lit(0), slices - 1)))
     dealt = dealt.select("key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), "slice", "rep", "root")
-    return _near_in_cells(dealt.join(sets.select("rep", "n", "sketch"), "rep"), share).distinct()
+    return _near_in_cells(dealt.join(sets.select("rep", "n", "sketch"), "rep"), share, keep)
 
 
 def linked_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = SHINGLE_WORDS, share: int = SHARE,
@@ -342,12 +386,18 @@ def linked_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = materialise(_shared(_blocks(rows, np.sort(np.array(most, np.int64).view(np.uint64)), share, words_each)), "shared-blocks")
     members = materialise(_involved(rows, sets, shared.select("rep").distinct(), words_each), "sets-in-blocks")
     star = shared.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    first = materialise(_verified(star, members, share), "star-links")
-    roots = components(first)
-    rest = materialise(_verified(_across(shared, roots, members, share, cell), members, share), "cross-links")
-    if rest.isEmpty():
-        return sets, roots
-    return sets, components(rest.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+    roots = components(materialise(_verified(star, members, share), "star-links"))
+    blocks, keep, left = shared, 1, None
+    while True:
+        blocks = _open_blocks(blocks, roots, left)
+        near = materialise(_candidates(blocks, members, share, cell, keep), "near-pairs")
+        links = materialise(_verified(near.where("key is null").select("a", "b").distinct(), members, share), "near-links")
+        if not links.isEmpty():
+            roots = components(links.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+        left = near.where("key is not null").select("key").distinct()
+        if left.isEmpty():
+            return sets, roots
+        keep *= ROUND_FACTOR  # again over the blocks with members whose candidates were not all verified, between the components there are now
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = SHINGLE_WORDS, share: int = SHARE,
