@@ -16,6 +16,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,10 @@ NONE, TRAIN, VALID = 0, 1, 2
 BLOCK_CELLS = 1 << 21
 #: Entries x models multiplied at a time (bounds a task's memory).
 STEP_CELLS = 1 << 22
+#: Entries of a block of rows.
+BLOCK_ENTRIES = 1 << 18
+#: Numbers of partial gradients that may reach the driver in one pass; more are added up by tasks first.
+PARTIAL_CELLS = 1 << 21
 #: Features whose partial gradients travel in one row.
 FEATURE_RANGE = 1 << 13
 HISTORY = 7
@@ -72,17 +77,48 @@ def margins(start: np.ndarray, idx: np.ndarray, val: np.ndarray, theta: np.ndarr
     return z
 
 
-def _loss_and_gradient(start, idx, val, y, w, theta, grad) -> np.ndarray:
-    z = margins(start, idx, val, theta)
-    p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
-    g = w * (p - y[:, None])
+def _packed(b: pa.RecordBatch, n_roles: int) -> dict[str, np.ndarray]:
+    """The arrays of a block of rows, its entries also in feature order, so that a pass sorts nothing."""
+    start, idx, val = sparse_arrays(b)
     order = np.argsort(idx, kind="stable")
-    if len(order):
-        feature, first = np.unique(idx[order], return_index=True)
-        row = np.repeat(np.arange(len(start) - 1), np.diff(start))[order]
-        grad[feature] += np.add.reduceat(val[order][:, None] * g[row], first, axis=0)
+    feature, first = np.unique(idx[order], return_index=True)
+    return {"start": start, "idx": idx.astype(np.int32), "val": val, "row": np.repeat(np.arange(len(start) - 1), np.diff(start))[order].astype(np.int32),
+            "sorted": val[order], "feature": feature.astype(np.int32), "first": first,
+            "label": b.column(b.schema.get_field_index("label")).to_numpy(zero_copy_only=False).astype(float),
+            "role": fixed_arrays(b, "role", n_roles, np.int8).ravel()}
+
+
+#: Arrays of a block and their types.
+PACKED = {"start": np.int64, "idx": np.int32, "val": np.float64, "row": np.int32, "sorted": np.float64, "feature": np.int32, "first": np.int64,
+          "label": np.float64, "role": np.int8}
+
+
+def pack_rows(rows: DataFrame, n_roles: int) -> DataFrame:
+    """(label, indices, values, role) -> blocks of about BLOCK_ENTRIES entries, one binary column an array; narrow."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for b in row_slices(big, BLOCK_ENTRIES):
+                block = _packed(b, n_roles)
+                yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(block[n], t).tobytes()], pa.binary()) for n, t in PACKED.items()], list(PACKED))
+
+    return rows.select("label", "indices", "values", "role").mapInArrow(run, ", ".join(f"{n} binary" for n in PACKED))
+
+
+def _loss_and_gradient(block: dict[str, np.ndarray], w: np.ndarray, theta: np.ndarray, grad: np.ndarray) -> np.ndarray:
+    z = margins(block["start"], block["idx"], block["val"], theta)
+    y = block["label"][:, None]
+    g = w * (1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - y)
+    if len(block["row"]):
+        grad[block["feature"]] += np.add.reduceat(block["sorted"][:, None] * g[block["row"]], block["first"], axis=0)
     grad[-1] += g.sum(0)
-    return (w * np.logaddexp(0, np.where(y[:, None] > 0, -z, z))).sum(0)
+    return (w * np.logaddexp(0, np.where(y > 0, -z, z))).sum(0)
+
+
+def _positives_and_curvature(block: dict[str, np.ndarray], w: np.ndarray, theta: np.ndarray, grad: np.ndarray) -> np.ndarray:
+    if len(block["row"]):
+        grad[block["feature"]] += np.add.reduceat((block["sorted"] ** 2 / 4)[:, None] * w[block["row"]], block["first"], axis=0)
+    grad[-1] += w.sum(0) / 4
+    return (w * block["label"][:, None]).sum(0)
 
 
 def training_weights(label: np.ndarray, role: np.ndarray, positive: np.ndarray) -> np.ndarray:
@@ -91,25 +127,29 @@ def training_weights(label: np.ndarray, role: np.ndarray, positive: np.ndarray)
 
 
 class Passes:
-    """Loss, gradient and weight sum of columns of models over cached rows (label, indices, values, role)."""
+    """Loss, gradient and weight sum of columns of models over the cached blocks of ``pack_rows``."""
+
+    def __init__(self, blocks: DataFrame, roles: np.ndarray, n_roles: int, positive: np.ndarray):
+        self.blocks, self.spark, self.parts = blocks, blocks.sparkSession, blocks.rdd.getNumPartitions()
+        self.roles, self.n_roles, self.positive = roles, n_roles, positive
 
-    def __init__(self, rows: DataFrame, roles: np.ndarray, n_roles: int, positive: np.ndarray):
-        self.rows, self.roles, self.n_roles, self.positive, self.spark = rows, roles, n_roles, positive, rows.sparkSession
+    def curvature(self, size: int, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weighted positives a column, a bound of the loss's second derivatives by each parameter, and the weight sum a column."""
+        return self(np.zeros((size, len(columns))), columns, _positives_and_curvature)
 
-    def __call__(self, theta: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, theta: np.ndarray, columns: np.ndarray, add_up=_loss_and_gradient) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``theta``: (features + 1, len(columns)) -> loss and weight sum a column, gradient."""
         shared = self.spark.sparkContext.broadcast((theta, self.roles[columns], self.positive[columns]))
-        n_roles, width, cells = self.n_roles, len(columns), max(1, STEP_CELLS // max(1, len(columns)))
+        n_roles, width = self.n_roles, len(columns)
 
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             theta, roles, positive = shared.value
             grad, sums = np.zeros_like(theta), np.zeros((2, width))
-            for big in batches:
-                for b in row_slices(big, cells):
-                    start, idx, val = sparse_arrays(b)
-                    y = b.column(b.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
-                    w = training_weights(y, fixed_arrays(b, "role", n_roles, np.int8)[:, roles], positive)
-                    sums[0] += _loss_and_gradient(start, idx, val, y, w, theta, grad)
+            for b in batches:
+                for i in range(b.num_rows):
+                    block = {n: np.frombuffer(b.column(c)[i].as_buffer(), t) for c, (n, t) in enumerate(PACKED.items())}
+                    w = training_weights(block["label"], block["role"].reshape(-1, n_roles)[:, roles], positive)
+                    sums[0] += add_up(block, w, theta, grad)
                     sums[1] += w.sum(0)
             ranges, out = [-1], [sums.tobytes()]
             for at in range(0, len(grad), FEATURE_RANGE):
@@ -132,27 +172,31 @@ class Passes:
                 yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["at", "sums"])
 
         schema = "at int, sums binary"
-        parts = self.rows.select("label", "indices", "values", "role").mapInArrow(part, schema)
-        got = parts.repartition("at").sortWithinPartitions("at").mapInArrow(add, schema).collect()  # features x models numbers
+        got = self.blocks.mapInArrow(part, schema)
+        if self.parts * theta.size > PARTIAL_CELLS:  # added up by feature range before they reach the driver
+            got = got.repartition("at").sortWithinPartitions("at").mapInArrow(add, schema)
         grad, sums = np.zeros_like(theta), np.zeros((2, width))
-        for at, piece in got:
-            values = np.frombuffer(bytes(piece)).reshape(-1, width)
+        for at, piece in zip(*got.toArrow().to_pydict().values()):
+            values = np.frombuffer(piece).reshape(-1, width)
             if at < 0:
-                sums = values
+                sums = sums + values
             else:
-                grad[at:at + len(values)] = values
+                grad[at:at + len(values)] += values
         shared.unpersist()
         return sums[0], grad, sums[1]
 
 
-def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray, average: bool, max_iter: np.ndarray,
+def minimise(evaluate, curvature: np.ndarray, bias: np.ndarray, l2: np.ndarray, l1: np.ndarray, average: bool, max_iter: np.ndarray,
              tol: float) -> np.ndarray:
     """Columns of parameters (the last row is the bias, without penalty) that minimise loss + l2/2 |t|^2 + l1 |t|.
 
     ``evaluate(theta, columns)`` gives loss, gradient and weight sum of the
     given columns; ``average`` divides by the weight sum. Every column follows
-    its own L-BFGS with backtracking; all trial points of a round are one pass.
+    its own L-BFGS with backtracking, from ``bias`` and zeros, each parameter
+    scaled by the bound of its ``curvature``; all trial points of a round are
+    one pass.
     """
+    size, columns = curvature.shape
     penalised = np.ones((size, 1))
     penalised[-1] = 0
 
@@ -171,11 +215,15 @@ def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray,
         return f + (l1[at] * penalised * np.abs(t)).sum(0)
 
     theta, every = np.zeros((size, columns)), np.arange(columns)
-    f, g = smooth(theta, every)
+    theta[-1] = bias
+    f, g, n = evaluate(theta, every)
+    scale = 1.0 / np.maximum(n, 1e-300) if average else np.ones(columns)
+    f, g = f * scale, g * scale  # all penalised parameters are zero
+    inverse = 1.0 / np.maximum(curvature * scale + l2 * penalised, 1e-12)
     f = whole(f, theta, every)
     pg = pseudo(theta, g, every)
     steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    gamma = 1.0 / np.maximum(1e-12, np.sqrt((pg ** 2).sum(0)))
+    gamma = np.ones(columns)
     open_ = np.nonzero(np.abs(pg).max(0) > 1e-12)[0]
     done = 0
     while len(open_ := open_[max_iter[open_] > done]):
@@ -184,13 +232,13 @@ def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray,
         for s, d, rho in reversed(steps):
             alphas.append(rho[open_] * (s[:, open_] * q).sum(0))
             q -= alphas[-1] * d[:, open_]
-        q *= gamma[open_]
+        q *= gamma[open_] * inverse[:, open_]
         for (s, d, rho), a in zip(steps, reversed(alphas)):
             q += s[:, open_] * (a - rho[open_] * (d[:, open_] * q).sum(0))
         move = -q
         move[move * pg[:, open_] > 0] = 0.0 if l1[open_].any() else move[move * pg[:, open_] > 0]
         uphill = (move * pg[:, open_]).sum(0) >= 0
-        move[:, uphill] = -pg[:, open_[uphill]] * gamma[open_[uphill]]
+        move[:, uphill] = -pg[:, open_[uphill]] * inverse[:, open_[uphill]]
         orthant = np.where(theta[:, open_] != 0, np.sign(theta[:, open_]), -np.sign(pg[:, open_]))
         bound = (l1[open_] > 0) * penalised > 0
 
@@ -205,8 +253,9 @@ def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray,
             good = value <= f[open_[waiting]] + 1e-4 * down
             hit = waiting[good]
             new[:, hit], f2[hit], g2[:, hit], settled[hit] = t[:, good], value[good], slope[:, good], True
+            rise = (value - f[open_[waiting]] - down)[~good]
             waiting = waiting[~good]
-            rate[waiting] /= 2
+            rate[waiting] *= np.clip(-down[~good] / np.maximum(2 * rise, 1e-300), 0.05, 0.5)  # the parabola through what is known
             if not len(waiting):
                 break
         s, d = np.zeros_like(theta), np.zeros_like(theta)
@@ -214,7 +263,7 @@ def minimise(evaluate, size: int, columns: int, l2: np.ndarray, l1: np.ndarray,
         sy = (s * d).sum(0)
         useful = sy > 1e-14
         steps = [*steps[-(HISTORY - 1):], (s, d, np.where(useful, 1.0 / np.where(useful, sy, 1.0), 0.0))]
-        yy = (d * d).sum(0)
+        yy = (d * d * inverse).sum(0)
         gamma = np.where(useful, sy / np.where(useful, yy, 1.0), gamma)
         gained = f[open_] - f2
         theta[:, open_], f[open_], g[:, open_] = new, f2, g2
@@ -236,19 +285,24 @@ def fit_logistic_many(rows: DataFrame, n_features: int, n_roles: int, positive=1
     model trains on the rows whose role number ``roles[model]`` is TRAIN;
     default is one model for each role. ``positive``, ``l2``, ``l1`` and
     ``max_iter`` hold for all models or give one value each. The rows are read
-    in every pass, so persist them. Memory of the driver and of a task follows
-    ``block_cells``, not the rows; a model without training rows keeps zero
-    parameters.
+    once, into cached blocks that every pass reads. Memory of the driver and of
+    a task follows ``block_cells``, not the rows; a model without training rows
+    keeps zero parameters.
     """
     roles = np.arange(n_roles) if roles is None else np.asarray(roles, int)
     n_models = len(roles)
     positive, l2, l1, max_iter = (per_model(v, n_models) for v in (positive, l2, l1, max_iter))
     out = np.zeros((n_features + 1, n_models))
     width = max(1, block_cells // (n_features + 1))
+    blocks = pack_rows(rows, n_roles).persist(StorageLevel.MEMORY_AND_DISK)
     for at in range(0, n_models, width):
         block = np.arange(at, min(n_models, at + width))
-        passes = Passes(rows, roles[block], n_roles, positive[block])
-        out[:, block] = minimise(passes, n_features + 1, len(block), l2[block], l1[block], average, max_iter[block], tol)
+        passes = Passes(blocks, roles[block], n_roles, positive[block])
+        positives, curvature, weight = passes.curvature(n_features + 1, np.arange(len(block)))
+        share = np.clip(positives / np.maximum(weight, 1e-300), 1e-6, 1 - 1e-6)
+        bias = np.where(weight > 0, np.log(share / (1 - share)), 0.0)
+        out[:, block] = minimise(passes, curvature, bias, l2[block], l1[block], average, max_iter[block], tol)
+    blocks.unpersist()
     return out
 
 
