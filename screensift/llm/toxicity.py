@@ -5,9 +5,11 @@ word stems of the text and the probabilities of the categories before it. While
 those come from out-of-fold models, so a later model never learns from
 probabilities fitted on its own rows.
 
-The chain is fitted on a bounded sample of labelled rows (``max_train``); the features
-it may use are the best by chi-square against some category, as far as the false discoveries
-among them stay rare (Benjamini-Hochberg), so no language needs an absolute number of rows. Scoring reads every whole text once, without a shuffle.
+The chain is fitted on a bounded sample of labelled rows (``max_train``); a category's model uses
+all words and stems that are significant by chi-square against it, as far as the false discoveries
+among them stay rare (Benjamini-Hochberg), so no language needs an absolute number of rows. The
+models of a category are fitted together, each pass over the sample a distributed
+job (``operators.batched``). Scoring reads every whole text once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,20 +18,26 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from screensift.llm.frames import chunks, materialise, packed, text_of, unpacked
+from screensift.operators.batched import NONE, TRAIN, VALID, fit_logistic_many, margins, row_slices, sparse_arrays
 
-#: Labelled rows that train the chain (about; all, if there are fewer), and words it may use.
-MAX_TRAIN, MAX_WORDS = 20_000, 1024
+#: Labelled rows that train the chain (about; all, if there are fewer).
+MAX_TRAIN = 20_000
 #: A word on a single sample document is not tested; share of false discoveries among the words chosen.
 MIN_DOCS, FALSE_SHARE = 2, 0.05
 FOLDS, RIDGE, THRESHOLD = 5, 0.3, 0.5
+#: Rounds of the optimiser, and the relative gain of the loss at which it ends.
+ROUNDS, TOLERANCE = 40, 1e-4
 STEMS = (3, 4, 5, 6)
 
 #: ASCII letters in lower case and all non-ASCII bytes make words.
@@ -80,51 +88,6 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def fit_logistic(row: np.ndarray, col: np.ndarray, dense: np.ndarray, y: np.ndarray, n_words: int,
-                 ridge: float = RIDGE, rounds: int = 100) -> np.ndarray:
-    """Ridge logistic regression by L-BFGS: binary words at (row, col) plus ``dense`` columns plus a bias.
-
-    One class only: a constant model at the smoothed rate.
-    """
-    n, extra = dense.shape
-    size = n_words + extra + 1
-    theta = np.zeros(size)
-    if n == 0 or y.min() == y.max():
-        theta[-1] = _logit(np.array((y.sum() + 0.5) / (n + 1.0))) if n else -30.0
-        return theta
-
-    def value(t):
-        z = np.bincount(row, weights=t[col], minlength=n) + dense @ t[n_words:-1] + t[-1]
-        g = _sigmoid(z) - y
-        grad = np.concatenate([np.bincount(col, weights=g[row], minlength=n_words), dense.T @ g, [g.sum()]])
-        grad[:-1] += ridge * t[:-1]
-        return np.logaddexp(0, np.where(y > 0, -z, z)).sum() + ridge / 2 * (t[:-1] ** 2).sum(), grad
-
-    f, g = value(theta)
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(rounds):
-        q, alphas = g.copy(), []
-        for s, d in reversed(steps):
-            alphas.append(s @ q / (s @ d))
-            q -= alphas[-1] * d
-        q *= (steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1]) if steps else 1.0 / max(1.0, np.linalg.norm(g))
-        for (s, d), a in zip(steps, reversed(alphas)):
-            q += s * (a - d @ q / (s @ d))
-        rate = 1.0
-        while True:
-            new = theta - rate * q
-            f2, g2 = value(new)
-            if f2 <= f - 1e-4 * rate * (g @ q) or rate < 1e-8:
-                break
-            rate /= 2
-        if f2 >= f or f - f2 < 1e-7 * max(1.0, abs(f)):
-            break
-        if (new - theta) @ (g2 - g) > 1e-12:
-            steps = [*steps[-9:], (new - theta, g2 - g)]
-        theta, f, g = new, f2, g2
-    return theta
-
-
 @dataclass
 class Chain:
     """Categories, words and one parameter vector (words, earlier categories, bias) per category."""
@@ -143,50 +106,90 @@ class Chain:
         return out
 
 
-def fit_chain(row: np.ndarray, col: np.ndarray, y: np.ndarray, words: dict[bytes, int], categories: list[str],
-              fold: np.ndarray, ridge: float = RIDGE) -> Chain:
-    """``y`` is (rows, categories) with NaN for unknown labels; ``fold`` numbers the out-of-fold part of a row."""
-    n, v = len(fold), len(words)
-    earlier = np.zeros((n, 0))
-    parameters = []
-
-    def fit(keep, j):
-        at = np.full(n, -1)
-        at[keep] = np.arange(keep.sum())
-        inside = keep[row]
-        return fit_logistic(at[row[inside]], col[inside], earlier[keep], y[keep, j], v, ridge)
+def significant_at(tested: DataFrame, share: float = FALSE_SHARE) -> float:
+    """The chi-square from which words are taken so that about ``share`` of them are false discoveries: Benjamini-Hochberg over all tested words.
 
+    The step-up rule takes the words whose p is at most share * taken / tested;
+    counting again, from all words down, reaches its largest solution. Each
+    count is one aggregation.
+    """
+    total = taken = tested.count()
+    while taken:
+        cut = chi2_of(share * taken / total)
+        now = tested.where(F.col("chi2") >= cut).count()
+        if now == taken:
+            return cut
+        taken = now
+    return math.inf
+
+
+def chi2_of(p: float) -> float:
+    """The chi-square of one degree of freedom that is exceeded with probability ``p``, by bisection."""
+    low, high = 0.0, 2000.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if math.erfc(math.sqrt(mid / 2)) > p else (low, mid)
+    return high
+
+
+def _constant(model: int, counts: list) -> float | None:
+    """Margin of a model whose training rows are of one class only, from (fold, known, positive) counts; None where it has both."""
+    known = sum(c.known for c in counts if c.fold != model)
+    positive = sum(c.positive for c in counts if c.fold != model)
+    if 0 < positive < known:
+        return None
+    return float(_logit(np.array((positive + 0.5) / (known + 1.0)))) if known else -30.0
+
+
+def fit_chain(rows: DataFrame, words: dict[bytes, int], categories: list[str], ridge: float = RIDGE) -> Chain:
+    """Rows (at: for each category the numbers of its significant words, y: a label a category or NULL, fold) -> the chain.
+
+    For each category one model a fold, without that fold's rows, and one of
+    all rows are fitted together (``batched``); the fold's models then give every
+    row its out-of-fold margin as one more column for the later categories.
+    """
+    rows = rows.withColumn("earlier", F.array().cast("array<double>"))
+    parameters = []
     for j in range(len(categories)):
-        known = ~np.isnan(y[:, j])
-        parameters.append(fit(known, j))
-        if j + 1 == len(categories):
-            break
-        oof = np.zeros(n)
-        for k in range(FOLDS):
-            out = fold == k
-            if not out.any():
-                continue
-            t = fit(known & ~out, j)
-            z = np.bincount(row, weights=t[col], minlength=n) + earlier @ t[v:-1] + t[-1]
-            oof[out] = _sigmoid(z[out])
-        earlier = np.column_stack([earlier, _logit(oof)])
+        label, at = F.col("y")[j], F.col("at")[j]
+        indices = F.concat(at, F.array(*[F.lit(len(words) + i) for i in range(j)]).cast("array<int>"))
+        values = F.concat(F.transform(at, lambda _: F.lit(1.0)), F.col("earlier"))
+        role = [F.when(F.col("fold") == k, VALID).when(label.isNotNull(), TRAIN).otherwise(NONE) for k in range(FOLDS)]
+        role.append(F.when(label.isNotNull(), TRAIN).otherwise(NONE))
+        now = rows.select("*", indices.alias("indices"), values.alias("values"), F.coalesce(label, F.lit(0.0)).alias("label"), F.array(*role).cast("array<tinyint>").alias("role")).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        theta = fit_logistic_many(now, len(words) + j, FOLDS + 1, l2=ridge, average=False, max_iter=ROUNDS, tol=TOLERANCE)
+        counts = now.groupBy("fold").agg(F.count(label).alias("known"), F.coalesce(F.sum(label), F.lit(0.0)).alias("positive")).collect()
+        for k in range(FOLDS + 1):
+            constant = _constant(k, counts)
+            if constant is not None:
+                theta[:, k] = 0
+                theta[-1, k] = constant
+        parameters.append(theta[:, FOLDS])
+        if j + 1 < len(categories):
+            rows = materialise(_with_margin(now, theta[:, :FOLDS]), "toxicity-rows")
+        now.unpersist()
     return Chain(categories, words, parameters)
 
 
-def significant(chi2: list[float], tested: int, categories: int, share: float = FALSE_SHARE) -> int:
-    """How many of the largest chi-squares (descending) of ``tested`` words are taken: Benjamini-Hochberg over the values given.
+def _with_margin(rows: DataFrame, theta: np.ndarray) -> DataFrame:
+    """Rows with their out-of-fold log-odds as one more value in ``earlier``."""
+    shared = rows.sparkSession.sparkContext.broadcast(theta)
 
-    A word's value is its largest of ``categories`` ones, so its p-value is that of one degree of freedom as often.
-    """
-    taken = 0
-    for i, x in enumerate(chi2, 1):
-        if min(1.0, categories * math.erfc(math.sqrt(x / 2))) <= share * i / max(1, tested):
-            taken = i
-    return taken
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for b in row_slices(big, 1 << 20):
+                fold = b.column(2).to_numpy(zero_copy_only=False)
+                z = _logit(_sigmoid(margins(*sparse_arrays(b), shared.value)[np.arange(b.num_rows), fold]))
+                earlier = [[*e, x] for e, x in zip(b.column(3).to_pylist(), z)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(earlier, pa.list_(pa.float64()))], ["at", "y", "fold", "earlier"])
+
+    return rows.select("at", "y", "fold", "earlier", "indices", "values").mapInArrow(
+        run, "at array<array<int>>, y array<double>, fold bigint, earlier array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | None = None, id_col: str = "doc_id",
-          text_col: str = "text", max_train: int = MAX_TRAIN, max_words: int = MAX_WORDS) -> Chain:
+          text_col: str = "text", max_train: int = MAX_TRAIN) -> Chain:
     """Fit the chain on labelled documents.
 
     A label row counts for a category where its condition is not NULL; a document labelled
@@ -224,33 +227,34 @@ def train(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | None =
     counts = per_word.groupBy("word").agg(*[c.alias(a) for c, a in sums]).where(F.col("n") >= MIN_DOCS)
     base = sample.agg(*[c.alias(a) for j in range(len(names)) for c, a in (
         (F.coalesce(F.sum(F.col("y")[j]), F.lit(0.0)), f"pos{j}"), (F.count(F.col("y")[j]), f"known{j}"))]).first()
-    score = [F.lit(0.0)]
+    scores = []
     for j in range(len(names)):
-        rate = base[f"pos{j}"] / max(1, base[f"known{j}"])
+        rate, score = base[f"pos{j}"] / max(1, base[f"known{j}"]), F.lit(0.0)
         if 0 < rate < 1:
             d = F.col(f"pos{j}") - F.col(f"known{j}") * rate
-            score.append(d * d / (F.greatest(F.col(f"known{j}"), F.lit(1)) * (rate * (1 - rate))))
-    tested = materialise(counts.select("word", (F.greatest(*score) if len(score) > 1 else score[0]).alias("chi2")), "toxicity-words")
-    best = tested.orderBy(F.desc("chi2"), "word").limit(max_words).collect()
-    best = best[:significant([r.chi2 for r in best], tested.count(), len(names))]
+            score = d * d / (F.greatest(F.col(f"known{j}"), F.lit(1)) * (rate * (1 - rate)))
+        scores.append(score.alias(f"chi2_{j}"))
+    tested = materialise(counts.select("word", *scores), "toxicity-words")
+    cuts = [significant_at(tested.select(F.col(f"chi2_{j}").alias("chi2"))) for j in range(len(names))]
+    taken = [F.col(f"chi2_{j}") >= F.lit(cut) for j, cut in enumerate(cuts)]
+    # the model's own words: as many as are significant on the bounded sample
+    best = tested.where(reduce(or_, taken, F.lit(False))).select("word", F.array(*taken).alias("taken")).orderBy("word").collect()
     words = {bytes(r.word): i for i, r in enumerate(best)}
+    of = np.array([r.taken for r in best], bool).reshape(len(best), len(names)).T
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(words)
         for b in chunks(batches, "text"):
-            at = [known.of(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), b.column("y"), b.column("fold")], ["at", "y", "fold"])
+            at = [np.array(known.of(t), np.int32) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([[a[mine[a]] for mine in of] for a in at], pa.list_(pa.list_(pa.int32()))), b.column("y"), b.column("fold")], ["at", "y", "fold"])
 
-    got = sample.mapInArrow(rows, "at array<int>, y array<double>, fold bigint").toPandas()  # max_train rows
-    col = np.concatenate([np.zeros(0, np.int64), *got["at"]]).astype(np.int64)
-    row = np.repeat(np.arange(len(got)), [len(a) for a in got["at"]])
-    y = np.array([[np.nan if v is None else v for v in r] for r in got["y"]], float).reshape(len(got), len(names))
-    return fit_chain(row, col, y, words, names, got["fold"].to_numpy(np.int64))
+    return fit_chain(materialise(sample.mapInArrow(rows, "at array<array<int>>, y array<double>, fold bigint"), "toxicity-rows"), words, names)
 
 
 def scored(df: DataFrame, model: Chain) -> DataFrame:
     """(row, text) -> row, p: the chain's probabilities in category order."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # MAX_WORDS words
+    shared = df.sparkSession.sparkContext.broadcast(model)  # the words that are significant on max_train rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
@@ -281,7 +285,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, reject: str = "toxic") -> DataFrame:
-    """Filter: documents that the chain rejects go, the others stay unchanged."""
+    """Filter: documents that the chain rejects go, the others stay unchanged.
+
+    Repeated rows share their fate; a NULL text is judged as the empty one, and
+    an empty table gives an empty result.
+    """
     model = train(docs, labels, None, id_col, text_col)
     out = scored(packed(docs, text=text_of(f"`{text_col}`")), model)
     return out.where(F.col("p")[model.categories.index(reject)] < threshold).select("row.*")

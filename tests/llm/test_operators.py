@@ -1,6 +1,7 @@
 """Pipeline operators against plain versions, and on nulls, ties, repeats, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -341,21 +342,61 @@ def test_toxicity_of_a_language_with_few_labels(spark):
     assert {(r.lang, r.toxic): r.r for r in got} == {("en", 0): 0, ("en", 1): 1, ("es", 0): 0, ("es", 1): 1}
 
 
-def test_significant_words():
-    assert toxicity.significant([100.0, 50.0, 1.0], 1000, 3) == 2 and toxicity.significant([1.0, .5], 2, 1) == 0 and toxicity.significant([], 0, 3) == 0
+def plain_significant(chi2, share):
+    """Benjamini-Hochberg by sorting: how many of the values are taken."""
+    taken = 0
+    for i, x in enumerate(sorted(chi2, reverse=True), 1):
+        if math.erfc(math.sqrt(x / 2)) <= share * i / len(chi2):
+            taken = i
+    return taken
 
 
-def test_chain_feeds_earlier_probabilities():
+def test_significant_words(spark):
+    rng = np.random.default_rng(2)
+    for chi2 in (rng.chisquare(1, 300), np.concatenate([rng.chisquare(1, 400), 6 + rng.chisquare(8, 60)]), np.array([100.0, 50.0, 1.0]), np.array([0.5])):
+        tested = spark.createDataFrame([(float(x),) for x in chi2], "chi2 double")
+        cut = toxicity.significant_at(tested)
+        assert (chi2 >= cut).sum() == plain_significant(chi2, toxicity.FALSE_SHARE)
+    assert toxicity.significant_at(tested.limit(0)) == math.inf
+    assert abs(math.erfc(math.sqrt(toxicity.chi2_of(0.01) / 2)) - 0.01) < 1e-9
+
+
+def plain_ridge(x, y, ridge):
+    """Ridge logistic regression with a free bias, by Newton steps."""
+    xb = np.hstack([x, np.ones((len(x), 1))])
+    t, pen = np.zeros(xb.shape[1]), np.append(np.full(x.shape[1], ridge), 1e-12)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-xb @ t))
+        t -= np.linalg.solve((xb.T * (p * (1 - p))) @ xb + np.diag(pen), xb.T @ (p - y) + pen * t)
+    return t
+
+
+def test_chain_equals_newton_fits(spark):
+    """Every model of the chain against a plain fit, out-of-fold margins as columns of the later ones."""
     rng = np.random.default_rng(0)
-    n = 400
-    x = rng.integers(0, 2, n)
-    y = np.column_stack([x, x]).astype(float)
-    row = np.nonzero(x)[0]
-    model = toxicity.fit_chain(row, np.zeros(len(row), int), y, {b"w": 0}, ["a", "b"], np.arange(n) % 5)
-    p = model.probabilities(row, np.zeros(len(row), int), n)
-    assert ((p > 0.5) == (y == 1)).all()
-    assert model.parameters[1][1] > 0  # the second model uses the first category's probability
-    assert len(model.parameters[0]) == 2 and len(model.parameters[1]) == 3
+    n, v = 240, 6
+    x = rng.integers(0, 2, (n, v)).astype(float)
+    first = (x[:, 0] + x[:, 1] + rng.normal(size=n) > 1.2).astype(float)
+    second = (first + x[:, 2] + rng.normal(size=n) > 1.2).astype(float)
+    y = np.column_stack([first, second, np.zeros(n)])
+    y[::7, 0], y[::5, 1] = np.nan, np.nan
+    fold = np.arange(n) % toxicity.FOLDS
+    rows = spark.createDataFrame(
+        [([[int(c) for c in np.nonzero(x[i])[0]]] * 3, [None if np.isnan(q) else float(q) for q in y[i]], int(fold[i])) for i in range(n)],
+        "at array<array<int>>, y array<double>, fold bigint").repartition(3)
+    chain = toxicity.fit_chain(rows, {b"%d" % i: i for i in range(v)}, ["a", "b", "c"])
+    columns = x
+    for j in range(2):
+        known = ~np.isnan(y[:, j])
+        want = plain_ridge(columns[known], y[known, j], toxicity.RIDGE)
+        assert np.abs(chain.parameters[j] - want).max() < 1e-2
+        margin = np.zeros(n)
+        for k in range(toxicity.FOLDS):
+            t = plain_ridge(columns[known & (fold != k)], y[known & (fold != k), j], toxicity.RIDGE)
+            margin[fold == k] = (np.hstack([columns, np.ones((n, 1))]) @ t)[fold == k]
+        columns = np.column_stack([columns, margin])
+    assert chain.parameters[1][v] > 0  # the second model uses the first category's margin
+    assert not chain.parameters[2][:-1].any() and chain.parameters[2][-1] < -5  # one class only: the smoothed rate
 
 
 # secrets -----------------------------------------------------------------------------------------------
