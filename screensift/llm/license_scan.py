@@ -123,10 +123,12 @@ TEMPLATES = {
                   "our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights "
                   "to this software under copyright law. " + _WARRANTY.format("") + " For more information, please refer to <https://unlicense.org>"],
 }
-#: Least cosine of a line or text; share of a file's words in notices from which on it is a licence file.
-MIN_COSINE, LICENCE_FILE_SHARE = 0.8, 0.1
+#: Least cosine of a line or text; share of a file's words in notices from which on it is a licence file whatever its name.
+MIN_COSINE, LICENCE_FILE_SHARE = 0.8, 0.6
 #: A file of such a name with a notice of its own is a licence file, whatever the share (the long licences name themselves once).
 LICENCE_NAME = r"(?i)(^|/)(un)?licen[cs]e([._-][^/]*)?$|(^|/)copying([._-][^/]*)?$"
+#: Compared runs of one text that are remembered.
+RUN_MEMORY = 1 << 14
 #: Runs of so many first lines are compared at a time.
 RUN_BLOCK = 4096
 #: A directory with more than one part in so many of all files is hot.
@@ -213,6 +215,10 @@ class Matcher:
         """
         longest = max(self.sizes, default=0)
         known = [Counter(i for w in words if (i := self.number.get(w)) is not None) for words in lines]
+        # equal runs (a notice repeated many times) are compared once
+        numbers: dict[tuple, int] = {}
+        same = [numbers.setdefault(tuple(words), len(numbers)) for words in lines]
+        compared: dict[tuple, tuple[float, int]] = {}
         for first in range(0, len(lines), RUN_BLOCK):
             stop = min(first + RUN_BLOCK, len(lines))
             last, room = stop, longest  # the lines that a run from this block can reach
@@ -242,7 +248,12 @@ class Matcher:
                 here = starts[any_known[starts + n - 1]]
                 bound = (dots[here + n] - dots[here]).max(1)
                 for k in here[bound >= (self.min_cosine - 1e-6) * np.sqrt(norms[here + n] - norms[here])]:
-                    cosine, i = self.best([w for line in lines[first + k:first + k + n] for w in line])
+                    run = tuple(same[first + k:first + k + n])
+                    if run not in compared:
+                        if len(compared) >= RUN_MEMORY:
+                            compared.clear()
+                        compared[run] = self.best([w for line in lines[first + k:first + k + n] for w in line])
+                    cosine, i = compared[run]
                     if i >= 0:
                         yield int(first + k), int(first + k + n), cosine, i
 

@@ -2,9 +2,11 @@
 
 Per host, the share of pages that contain a line (normalised: white space
 collapsed, lower case) tells boilerplate from content. Only 128-bit line
-digests are grouped, once per page and pre-aggregated before the shuffle;
-texts meet the digests to drop by (page, text hash), so neither a hot host nor a
-line on every page gathers in one task.
+digests are grouped, once per page and pre-aggregated before the shuffle. The
+lines to drop of a host with many pages are then repeated in as many parts as it
+has thousandths of all pages, and its pages dealt to the parts by their hash,
+so a line on every page of a host with a third of the corpus still meets them in
+hundreds of groups; texts meet what they lose by (page, text hash).
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screensift.llm.frames import packed, text_of, unpacked
+from screensift.llm.frames import materialise, packed, text_of, unpacked
 
 #: A line on more than this share of a host's pages is boilerplate, from so many pages of the host on.
 MAX_RATIO, MIN_PAGES = 0.01, 3
+#: A host's pages meet its dropped lines in parts of at most a so-many-th of all pages.
+HOT_PARTS = 1000
 
 
 def _normal(line: Column) -> Column:
@@ -40,6 +44,14 @@ def boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return counts.join(totals, "host").where(F.col("pages") / F.col("host_pages") > max_ratio)
 
 
+def _in_parts(drops: DataFrame, docs: DataFrame) -> DataFrame:
+    """(host, line, host_pages) -> (host, line, parts, part): every dropped line once for each part of its host."""
+    pages = docs.select(F.count("*").alias("n")).scalar()
+    parts = F.ceil(F.col("host_pages") / F.greatest(F.lit(1), F.ceil(pages / F.lit(HOT_PARTS))))
+    drops = materialise(drops.select("host", "line", parts.cast("bigint").alias("parts")), "boilerplate")
+    return drops.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+
+
 def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                      max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
     """Input columns with boilerplate lines removed from the text; ``counts`` adds n_lines and n_dropped.
@@ -50,11 +62,15 @@ def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``min_pages``, so hosts with fewer pages keep everything. Texts without
     such lines stay to the byte, and an ``n_chars`` column follows a change.
     """
-    drops = boilerplate(docs, id_col, text_col, host_col, max_ratio, min_pages).select("host", "line")
+    drops = _in_parts(boilerplate(docs, id_col, text_col, host_col, max_ratio, min_pages), docs)
+    # a host of several parts has over a HOT_PARTS-th of all pages, so there are fewer than HOT_PARTS of them
+    hot = drops.where("parts > 1").select("host", "parts").distinct()
     keys = _keys(docs, id_col, text_col, host_col)
     lines = F.array_distinct(F.transform(F.split("text", "\n", -1), lambda x: F.unhex(F.md5(_normal(x)))))
-    found = docs.select(*[c.alias(n) for n, c in keys.items()]).select("page", "host", "hash", F.explode(lines).alias("line")).join(
-        drops, ["host", "line"]).groupBy("page", "host", "hash").agg(F.collect_set("line").alias("drop"))
+    dealt = docs.select(*[c.alias(n) for n, c in keys.items()]).join(F.broadcast(hot), "host", "left")
+    part = F.pmod(F.xxhash64("page", "hash"), F.coalesce("parts", F.lit(1).cast("bigint"))).alias("part")
+    found = dealt.select("page", "host", "hash", part, F.explode(lines).alias("line")).join(
+        drops.select("host", "part", "line"), ["host", "part", "line"]).groupBy("page", "host", "hash").agg(F.collect_set("line").alias("drop"))
     split = F.split("text", "\n", -1)
     kept = F.filter(split, lambda x: ~F.array_contains(F.col("drop"), F.unhex(F.md5(_normal(x)))))
     out = packed(docs, **keys).join(found, ["page", "host", "hash"], "left")

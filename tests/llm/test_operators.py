@@ -223,6 +223,38 @@ def test_targets_fill_like_resharing(spark, sizes):
 
 # line dedup --------------------------------------------------------------------------------------------
 
+def test_line_dedup_of_a_hot_host(spark):
+    """A line on every page of a host with most of the pages: equal to a plain count without AQE and broadcasts, in many groups."""
+    rows = [(i, f"home | about\nown line {i}\nshared {i % 400}", "big" if i % 5 else "small") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(docs).collect()}
+        parts = line_dedup._in_parts(line_dedup.boilerplate(docs), docs).groupBy("host").agg(F.max("parts").alias("n")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    on, pages = Counter(), Counter(s for *_, s in rows)
+    for _, t, s in rows:
+        on.update((s, x) for x in set(t.split("\n")))
+    for i, t, s in rows:
+        assert got[i] == "\n".join(x for x in t.split("\n") if not (on[s, x] >= 3 and on[s, x] / pages[s] > 0.01))
+    assert {r.host: r.n for r in parts} == {"0big": 800, "0small": 200}
+
+
+def test_license_notices_repeated_many_times(spark):
+    import time
+
+    matcher = license_scan.Matcher(1000, {w: 5 for t in license_scan.TEMPLATES.values() for x in t for w in license_scan.words_of(x)},
+                                   license_scan.TEMPLATES, license_scan.MIN_COSINE)
+    start = time.time()
+    licence, cosine, share = matcher.scan("Licensed under the Apache License, Version 2.0.\n" * 4000)
+    assert licence == "Apache-2.0" and share > 0.9 and time.time() - start < 60
+
+
 def test_line_dedup_edges(spark, edge, empty):
     out = line_dedup.drop_boilerplate(edge, max_ratio=0.3, min_pages=3)
     assert out.columns == edge.columns
