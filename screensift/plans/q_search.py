@@ -1,67 +1,65 @@
 """Queries: hyper-parameter search tables.
 
-Trial tables are derived from the data so that they grow with it: every
-(model, document) pair is one trial of study '<model>/<source>', numbered by
-doc_id inside the study. Parameters are md5 draws (H2); the three step AUCs
-are a fixed function of the draws (the model's main parameter moves the
-objective), so every rule downstream is checkable in SQL.
+Trials and their scores come from ``lineitem``. A trial is one supplier's
+predictions of a year: the score is the discounted quantity, the label depends
+on the model's name, and the line number deals the rows to three steps. Step
+AUCs are E2's grouped AUC over these rows, and a trial starts and ends with its
+first and last ship date, so every rule downstream works on measured values and
+grows with the data. Parameters are md5 draws (H2), as in a search.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from screensift.functions.hashing import uniform
 from screensift.functions.prefix import default_buckets, global_rank, quantile_bucket
+from screensift.operators import metrics as M
 from screensift.operators import search as H
 from screensift.plans import features as fx
 from screensift.plans.registry import register
+from screensift.plans.sql_models import sql_auc
 from screensift.plans.sql_text import q, r6
 from screensift.sources import tables as tb
 
 MODELS = ("lightgbm", "xgboost", "SVC", "RandomForestClassifier")
-# fixed values: the parameter that moves each model's synthetic objective
-DRIVER_PARAM = {"lightgbm": "learning_rate", "xgboost": "learning_rate", "SVC": "C",
-                "RandomForestClassifier": "n_estimators"}
+# what each model's rows are labelled by: (Spark and DuckDB read the same expression)
+LABELS = {"lightgbm": "l_extendedprice > 40000", "xgboost": "l_tax > 0.04", "SVC": "l_returnflag = 'R'",
+          "RandomForestClassifier": "l_linestatus = 'F'"}
 STEPS = 3
-T0 = 1_700_000_000.0
-MAX_TRIALS, MAX_STAGNATION, TIMEOUT_S = 40, 20, 300.0
+DAY_S = 86_400.0
+MAX_TRIALS, MAX_STAGNATION, TIMEOUT_S = 40, 20, 350 * DAY_S
 # user ranges applied on top of the defaults in the merged-ranges query: the
 # upper bound of each model's main count parameter follows the labelled rows
 USER_RANGE_PARAMS = {"lightgbm": "num_iterations", "xgboost": "n_estimators",
                      "RandomForestClassifier": "n_estimators"}
 
 
-def _driver_col():
-    c = F.lit(None).cast("string")
-    for m, p in DRIVER_PARAM.items():
-        c = F.when(F.col("model") == m, F.lit(p)).otherwise(c)
-    return c
+def trial_rows(spark, sf):
+    """(study, model, supplier, step, label, score, shipped): every line once for each model."""
+    lines = tb.table(spark, sf, "lineitem").select(
+        F.explode(F.map_from_arrays(F.array(*[F.lit(m) for m in MODELS]), F.array(*[F.expr(LABELS[m]).cast("int") for m in MODELS]))).alias("model", "label"),
+        F.year("l_shipdate").cast("string").alias("year"), F.col("l_suppkey").alias("supplier"), ((F.col("l_linenumber") - 1) % STEPS).cast("int").alias("step"),
+        F.round(F.col("l_quantity") * (F.lit(1.0) - F.col("l_discount")), 2).alias("score"), F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("double").alias("shipped"))
+    return lines.withColumn("study", F.concat_ws("/", "model", "year"))
+
+
+def numbered_trials(spark, sf):
+    """(study, model, supplier, trial, started, finished): suppliers of a study numbered in order."""
+    per = trial_rows(spark, sf).groupBy("study", "model", "supplier").agg(F.min("shipped").alias("started"), F.max("shipped").alias("finished"))
+    r = global_rank(per, ["study"], F.col("supplier"), quantile_bucket(per, "supplier", default_buckets(per), by=["study"]))
+    return r.select("study", "model", "supplier", (F.col("_idx") - 1).cast("int").alias("trial"), "started", "finished")
 
 
 def trials(spark, sf):
-    """(study, model, trial, state, started, finished) -- one trial per (model, document)."""
-    docs = tb.table(spark, sf, "documents").select("doc_id", "source")
-    x = docs.withColumn("model", F.explode(F.array(*[F.lit(m) for m in MODELS])))
-    x = x.withColumn("study", F.concat_ws("/", "model", "source"))
-    nb = default_buckets(x)
-    r = global_rank(x, ["study"], F.col("doc_id"), quantile_bucket(x, "doc_id", nb, by=["study"]))
-    t = r.select("study", "model", (F.col("_idx") - 1).cast("int").alias("trial"))
-    started = F.lit(T0) + F.col("trial") * 10.0 + F.floor(uniform(F.col("study"), F.col("trial"), "start") * 5)
-    dur = 1.0 + F.floor(uniform(F.col("study"), F.col("trial"), "dur") * 20)
-    return t.select("study", "model", "trial", F.lit("COMPLETE").alias("state"), started.alias("started"),
-                    (started + dur).alias("finished"))
-
-
-def trial_scores(tr):
-    """(study, trial, step, auc): deterministic function of the draws."""
-    x = tr.select("study", "model", "trial", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))).alias("step"))
-    u_drv = uniform(F.col("study"), F.col("trial"), _driver_col())
-    u_noise = uniform(F.col("study"), F.col("trial"), "noise")
-    u_step = uniform(F.col("study"), F.col("trial"), "step", F.col("step"))
-    auc = F.least(F.lit(1.0), F.lit(0.6) + F.lit(0.25) * u_drv + F.lit(0.1) * u_noise
-                  + F.lit(0.04) * (u_step - F.lit(0.5)))
-    return x.select("study", "trial", F.col("step").cast("int").alias("step"), auc.alias("auc"))
+    """(study, model, trial, state, started, finished)."""
+    return numbered_trials(spark, sf).select("study", "model", "trial", F.lit("COMPLETE").alias("state"), "started", "finished")
+
+
+def trial_scores(spark, sf):
+    """(study, trial, step, auc): E2 per step of every trial; a step of one class has AUC 0, as in a search."""
+    auc = M.roc_auc(trial_rows(spark, sf), ["study", "supplier", "step"]).select("study", "supplier", "step", F.coalesce("auc", F.lit(0.0)).alias("auc"))
+    named = numbered_trials(spark, sf).select("study", "supplier", "trial")
+    return auc.join(named, ["study", "supplier"]).select("study", "trial", "step", F.round("auc", 9).alias("auc"))
 
 
 def user_ranges(spark, sf):
@@ -82,7 +80,7 @@ def candidates(spark, sf):
 
 
 def objective(spark, sf):
-    return H.trial_objective(trial_scores(trials(spark, sf)))
+    return H.trial_objective(trial_scores(spark, sf))
 
 
 # ---------------------------------------------------------------- SQL side --------
@@ -117,17 +115,16 @@ SQL_DEPS = "deps AS (SELECT * FROM " + _values(
     " d(model, param, parent, allowed))"
 
 SQL_MODELS = _values([f"({q(m)})" for m in MODELS]) + " m(model)"
-SQL_DRIVER = "CASE model " + " ".join(f"WHEN {q(m)} THEN {q(p)}" for m, p in DRIVER_PARAM.items()) + " END"
-
-SQL_TRIALS = f"""tb AS (SELECT d.doc_id, m.model, m.model || '/' || d.source AS study FROM documents d, {SQL_MODELS}),
-trials AS (SELECT study, model, CAST(row_number() OVER (PARTITION BY study ORDER BY doc_id) - 1 AS INTEGER) AS trial
-           FROM tb),
-trials_t AS (SELECT *, {T0} + trial * 10.0 + floor({U('study', 'trial', "'start'")} * 5) AS started,
-             1.0 + floor({U('study', 'trial', "'dur'")} * 20) AS dur FROM trials),
-steps AS (SELECT study, trial, CAST(s.step AS INTEGER) AS step,
-  least(1.0, 0.6 + 0.25 * {U('study', 'trial', SQL_DRIVER)} + 0.1 * {U('study', 'trial', "'noise'")}
-        + 0.04 * ({U('study', 'trial', "'step'", 's.step')} - 0.5)) AS auc
-  FROM trials, range({STEPS}) s(step)),
+
+SQL_TRIALS = f"""tlines AS (SELECT m.model, m.model || '/' || year(l_shipdate) AS study, l_suppkey AS supplier,
+  CAST((l_linenumber - 1) % {STEPS} AS INTEGER) AS step, CAST(CASE m.model {' '.join(f"WHEN {q(m)} THEN {e}" for m, e in LABELS.items())} END AS INTEGER) AS label,
+  round(l_quantity * (1.0 - l_discount), 2) AS score, epoch(l_shipdate) AS shipped FROM lineitem, {SQL_MODELS}),
+trials_n AS (SELECT study, model, supplier, CAST(row_number() OVER (PARTITION BY study ORDER BY supplier) - 1 AS INTEGER) AS trial, started, finished - started AS dur
+  FROM (SELECT study, model, supplier, min(shipped) AS started, max(shipped) AS finished FROM tlines GROUP BY study, model, supplier)),
+trials AS (SELECT study, model, trial FROM trials_n),
+trials_t AS (SELECT study, model, trial, started, dur FROM trials_n),
+{sql_auc("step_auc", "tlines", ["study", "supplier", "step"])},
+steps AS (SELECT study, trial, step, round(coalesce(auc, 0.0), 9) AS auc FROM step_auc JOIN trials_n USING (study, supplier)),
 obj AS (SELECT study, trial, round(avg(auc), 9) AS objective, count(*) AS n_steps FROM steps GROUP BY study, trial)"""
 
 SQL_MERGED = f"""{SQL_DEFAULTS},
@@ -258,8 +255,7 @@ bs AS (SELECT study, trial AS best_trial, max(CASE WHEN step = 0 THEN auc END) A
 SELECT s0.study, s0.trial, (s0.s0 < coalesce(bs.b0, 0.0) AND s0.s0 < coalesce(bs.b1, 0.0)) AS prune
 FROM s0 JOIN best b USING (study, trial) LEFT JOIN bs ON bs.study = b.study AND bs.best_trial = b.best_trial""")
 def q_prune_first_two(spark, sf):
-    tr = trials(spark, sf)
-    sc = trial_scores(tr)
+    sc = trial_scores(spark, sf).persist()  # read for the steps, the objectives and the best trials
     return H.prune_first_two(sc, H.best_so_far(H.trial_objective(sc)))
 
 
@@ -274,8 +270,7 @@ SELECT study, trial, count(*) AS n,
   {r6('sum(CASE WHEN d < 0 THEN r WHEN d = 0 THEN r / 2.0 ELSE 0.0 END)')} AS r_minus
 FROM rk GROUP BY study, trial""")
 def q_wilcoxon_stat(spark, sf):
-    tr = trials(spark, sf)
-    sc = trial_scores(tr)
+    sc = trial_scores(spark, sf).persist()  # read for the steps, the objectives and the best trials
     st = H.wilcoxon_stats(sc, H.best_so_far(H.trial_objective(sc)))
     return st.select("study", "trial", "n", F.round("r_plus", 6).alias("r_plus"),
                      F.round("r_minus", 6).alias("r_minus"))
@@ -283,15 +278,13 @@ def q_wilcoxon_stat(spark, sf):
 
 @register("prune_wilcoxon")
 def q_prune_wilcoxon(spark, sf):
-    tr = trials(spark, sf)
-    sc = trial_scores(tr)
+    sc = trial_scores(spark, sf).persist()  # read for the steps, the objectives and the best trials
     return H.prune_wilcoxon(H.wilcoxon_stats(sc, H.best_so_far(H.trial_objective(sc))), threshold=0.1)
 
 
 @register("prune_decision")
 def q_prune_decision(spark, sf):
-    tr = trials(spark, sf)
-    sc = trial_scores(tr)
+    sc = trial_scores(spark, sf).persist()  # read for the steps, the objectives and the best trials
     best = H.best_so_far(H.trial_objective(sc))
     return H.prune_decision(H.prune_first_two(sc, best), H.prune_wilcoxon(H.wilcoxon_stats(sc, best)))
 
@@ -312,7 +305,7 @@ SELECT study, rule, CAST(stop_trial AS INTEGER) AS stop_trial FROM (SELECT * FRO
   UNION ALL SELECT * FROM tt)""")
 def q_stop_rules(spark, sf):
     tr = trials(spark, sf)
-    return H.stop_rules(tr, H.trial_objective(trial_scores(tr)), MAX_TRIALS, MAX_STAGNATION, TIMEOUT_S)
+    return H.stop_rules(tr, H.trial_objective(trial_scores(spark, sf)), MAX_TRIALS, MAX_STAGNATION, TIMEOUT_S)
 
 
 @register("best_trial", f"""WITH {SQL_TRIALS}
@@ -328,7 +321,7 @@ SELECT t.study, count(*) AS n_trials, count(*) AS n_complete, CAST(0 AS BIGINT)
        {r6('max(o.objective)')} AS best_objective FROM trials t JOIN obj o USING (study, trial) GROUP BY t.study""")
 def q_studies(spark, sf):
     tr = trials(spark, sf)
-    s = H.studies(tr, H.trial_objective(trial_scores(tr)))
+    s = H.studies(tr, H.trial_objective(trial_scores(spark, sf)))
     return s.select("study", "n_trials", "n_complete", "n_pruned", F.round("best_objective", 6).alias(
         "best_objective"))
 
