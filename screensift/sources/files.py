@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screensift.sources.quoted import quoted_records
+
 # fixed values: text that pandas reads as missing by default
 NA_STRINGS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -29,15 +31,24 @@ def _na_to_null(col: str):
 def read_tsv(spark: SparkSession, path: str, columns: dict[str, str], part: int = 0) -> DataFrame:
     """Read a TSV with header, keep and rename ``columns`` {header: name}; every field is text.
 
-    Rows get a doc_id from their position in the input splits (stable for a
-    given input), counted from 2^52 times ``part``, so that inputs read as different parts share no ids.
+    Fields may hold tabs and line breaks in quotes; a file is read by as many
+    tasks as it has splits (``quoted``). The header is the first record of every
+    file, without line breaks, the same in all. Rows get a doc_id from their
+    position in the input splits (stable for a given input), counted from 2^52
+    times ``part``, so that inputs read as different parts share no ids.
     """
-    df = spark.read.options(**TSV_OPTIONS).csv(path)
-    missing = [h for h in columns if h not in df.columns]
+    names = spark.read.options(**{**TSV_OPTIONS, "multiLine": "false"}).csv(path).columns
+    missing = [h for h in columns if h not in names]
     if missing:
         raise ValueError(f"missing columns {missing} in {path}")
-    out = df.select(*[_na_to_null(h).alias(n) for h, n in columns.items()])
-    return out.withColumn("doc_id", F.monotonically_increasing_id() + F.lit(part << 52)).select("doc_id", *columns.values())
+    records = quoted_records(spark, path)
+    first = records.groupBy("file").agg(F.min("position").alias("header"))  # a row a file
+    schema = ", ".join(f"_{i} STRING" for i in range(len(names)))
+    options = {k: v for k, v in TSV_OPTIONS.items() if k not in ("header", "multiLine")}
+    rows = records.join(F.broadcast(first), "file").where("position > header").select(
+        "position", F.from_csv("value", schema, {**options, "mode": "PERMISSIVE"}).alias("r"))
+    out = rows.select(F.col("position"), *[F.col("r")[f"_{names.index(h)}"].alias(n) for h, n in columns.items()])
+    return out.select((F.col("position") + F.lit(part << 52)).alias("doc_id"), *[_na_to_null(n).alias(n) for n in columns.values()])
 
 
 def read_labelled(spark: SparkSession, path: str, title_header: str = "title",
