@@ -26,6 +26,8 @@ NONE, TRAIN, VALID = 0, 1, 2
 BLOCK_CELLS = 1 << 21
 #: Entries x models multiplied at a time (bounds a task's memory).
 STEP_CELLS = 1 << 22
+#: Entries x models that a task of a pass multiplies, about.
+TASK_CELLS = 1 << 20
 #: Entries of a block of rows.
 BLOCK_ENTRIES = 1 << 18
 #: Numbers of partial gradients that may reach the driver in one pass; more are added up by tasks first.
@@ -294,7 +296,10 @@ def fit_logistic_many(rows: DataFrame, n_features: int, n_roles: int, positive=1
     positive, l2, l1, max_iter = (per_model(v, n_models) for v in (positive, l2, l1, max_iter))
     out = np.zeros((n_features + 1, n_models))
     width = max(1, block_cells // (n_features + 1))
-    blocks = pack_rows(rows, n_roles).persist(StorageLevel.MEMORY_AND_DISK)
+    # a pass is as many tasks as its work asks for, not as many as the rows happen to have partitions
+    entries = rows.agg(F.sum(F.size("indices"))).first()[0] or 0
+    tasks = max(1, -(-entries * min(width, n_models) // TASK_CELLS))
+    blocks = pack_rows(rows.coalesce(tasks), n_roles).persist(StorageLevel.MEMORY_AND_DISK)
     for at in range(0, n_models, width):
         block = np.arange(at, min(n_models, at + width))
         passes = Passes(blocks, roles[block], n_roles, positive[block])
