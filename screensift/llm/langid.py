@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from screensift.llm.frames import chunks, text_of
+from screensift.llm.frames import chunks, packed, text_of, unpacked
 
 BUCKETS, ORDERS, SMOOTHING = 1 << 16, (1, 2, 3), 0.5
 #: About this many labelled documents train the model (all, if there are fewer), drawn by id hash and language:
@@ -25,6 +26,8 @@ BUCKETS, ORDERS, SMOOTHING = 1 << 16, (1, 2, 3), 0.5
 #: at least MIN_PER_LANGUAGE rows (or all it has), also where many languages then exceed the total.
 TRAINING_DOCS, MIN_PER_LANGUAGE = 30_000, 500
 UNKNOWN = "und"
+#: Characters of texts hashed at a time.
+STRETCH = 1 << 18
 #: Odd multipliers of the n-gram hash, one per order.
 _FACTORS = {1: np.uint32(2654435761), 2: np.uint32(2246822519), 3: np.uint32(3266489917), 4: np.uint32(668265263)}
 
@@ -38,18 +41,12 @@ class _Fold(dict):
         return value
 
 
-def ngram_buckets(texts: list[str], fold: _Fold | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, bucket) of every n-gram of every text, and whether a text has a letter."""
-    fold = _Fold() if fold is None else fold
-    clean = [t.lower().translate(fold) for t in texts]
-    has = np.array([bool(c) and not c.isspace() for c in clean], bool)
-    joined = "".join(f" {c} " for c in clean)  # every text has its own blank before and after
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(texts)), [len(c) + 2 for c in clean])
+def _buckets(codes: np.ndarray, owner: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, bucket) of the n-grams that begin at one of the first ``starts`` characters."""
     blank = codes == 32
-    rows, buckets = [], []
+    rows, buckets = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for n in ORDERS:
-        size = len(codes) - n + 1
+        size = min(len(codes) - n + 1, starts)
         if size <= 0:
             continue
         h = np.zeros(size, np.uint32)
@@ -59,11 +56,51 @@ def ngram_buckets(texts: list[str], fold: _Fold | None = None) -> tuple[np.ndarr
         inner = ~blank[:size] if n == 1 else ~(blank[:size] & blank[1:size + 1])  # runs of blanks say nothing
         if n == 3:
             inner &= ~blank[1:size + 1]
-        same = owner[:size] == owner[n - 1:n - 1 + size]
-        keep = np.nonzero(inner & same)[0]
+        keep = np.nonzero(inner & (owner[:size] == owner[n - 1:n - 1 + size]))[0]
         rows.append(owner[keep])
         buckets.append((h[keep] & np.uint32(BUCKETS - 1)).astype(np.int64))
-    return np.concatenate(rows), np.concatenate(buckets), has
+    return np.concatenate(rows), np.concatenate(buckets)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def ngram_parts(texts: list[str], has: np.ndarray, fold: _Fold | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, bucket) of every n-gram of every text, in parts of about ``STRETCH`` characters; sets in ``has`` whether a text has a letter.
+
+    A longer text is read in stretches that overlap by what an n-gram needs, so
+    its n-grams are those of the whole text and memory does not follow its length.
+    """
+    fold = _Fold() if fold is None else fold
+    group, numbers, size = [], [], 0
+
+    def grouped() -> tuple[np.ndarray, np.ndarray]:
+        return _buckets(_codes("".join(group)), np.repeat(np.array(numbers, np.int64), [len(c) for c in group]), size)
+
+    for i, text in enumerate(texts):
+        clean = f" {text.lower().translate(fold)} "  # every text has its own blank before and after
+        has[i] = not clean.isspace()
+        if len(clean) > STRETCH:
+            for at in range(0, len(clean), STRETCH):
+                codes = _codes(clean[at:at + STRETCH + max(ORDERS) - 1])
+                yield _buckets(codes, np.full(len(codes), i, np.int64), STRETCH)
+            continue
+        if size + len(clean) > STRETCH:
+            yield grouped()
+            group, numbers, size = [], [], 0
+        group.append(clean)
+        numbers.append(i)
+        size += len(clean)
+    if group:
+        yield grouped()
+
+
+def ngram_buckets(texts: list[str], fold: _Fold | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, bucket) of every n-gram of every text, and whether a text has a letter."""
+    has = np.zeros(len(texts), bool)
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *ngram_parts(texts, has, fold)]
+    return *(np.concatenate(p) for p in zip(*parts)), has
 
 
 @dataclass
@@ -76,10 +113,13 @@ class Model:
 
     def predict(self, texts: list[str], fold: _Fold | None = None) -> tuple[list[str], np.ndarray]:
         """Most likely language per text and its posterior; ``und`` (0.0) without letters or without a model."""
-        row, bucket, has = ngram_buckets(texts, fold)
         if not self.languages or not len(texts):
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        score = np.stack([np.bincount(row, weights=lp[bucket], minlength=len(texts)) for lp in self.log_prob], axis=1) + self.prior
+        has, score = np.zeros(len(texts), bool), np.zeros((len(texts), len(self.languages)))
+        for row, bucket in ngram_parts(texts, has, fold):
+            for k, lp in enumerate(self.log_prob):
+                score[:, k] += np.bincount(row, weights=lp[bucket], minlength=len(texts))
+        score += self.prior
         best = score.argmax(1)
         posterior = 1.0 / np.exp(score - score.max(1, keepdims=True)).sum(1)
         return ([self.languages[b] if ok else UNKNOWN for b, ok in zip(best, has)], np.where(has, posterior, 0.0))
@@ -120,11 +160,11 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
         fold = _Fold()
         for b in chunks(batches, "text"):
             langs = b.column("lang").to_pylist()
-            row, bucket, _ = ngram_buckets(b.column("text").to_pylist(), fold)
-            for lang in set(langs):
-                mine = np.array([x == lang for x in langs])[row]
-                part = np.bincount(bucket[mine], minlength=BUCKETS)
-                counts[lang] = counts[lang] + part if lang in counts else part
+            of = {lang: np.array([x == lang for x in langs]) for lang in set(langs)}
+            for row, bucket in ngram_parts(b.column("text").to_pylist(), np.zeros(len(langs), bool), fold):
+                for lang, mine in of.items():
+                    part = np.bincount(bucket[mine[row]], minlength=BUCKETS)
+                    counts[lang] = counts[lang] + part if lang in counts else part
         for lang, c in counts.items():
             at = np.nonzero(c)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(c[at])], ["lang", "bucket", "n"])
@@ -141,16 +181,20 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Columns of ``df`` but the text, plus lang_pred and score; NULL text reads as empty (``und``, 0.0)."""
-    others = [f for f in df.schema.fields if f.name != text_col]
+    """Columns of ``df`` but the text, plus lang_pred and score; these take the place of input columns of their names.
+
+    NULL text reads as empty (``und``, 0.0); an empty table gives an empty result.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)  # languages x 2^16 doubles
+    rows = packed(df, text=text_of(f"`{text_col}`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = _Fold()
-        for b in chunks(batches, text_col, 1 << 20):
-            lang, score = shared.value.predict([t or "" for t in b.column(text_col).to_pylist()], fold)
-            yield pa.RecordBatch.from_arrays([b.column(f.name) for f in others] + [pa.array(lang, pa.string()), pa.array(score)],
-                                             [f.name for f in others] + ["lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return df.mapInArrow(run, f"{fields}{', ' if others else ''}lang_pred string, score double")
+        for b in chunks(batches, "text", 1 << 20):
+            lang, score = shared.value.predict(b.column("text").to_pylist(), fold)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(lang, pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
+
+    others = [F.col(f"row.`{c}`").alias(c) for c in df.columns if c != text_col]
+    rows = rows.withColumn("row", F.struct(*(others or [F.lit("").alias("lang_pred")])))  # a struct has a field at least
+    schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return unpacked(rows.mapInArrow(run, schema), lang_pred=F.col("lang_pred"), score=F.col("score"))

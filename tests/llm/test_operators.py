@@ -343,6 +343,53 @@ def test_language_scores_like_a_plain_sum(spark, docs):
     assert model.languages[int(one.argmax())] == langs[0]
 
 
+def plain_ngrams(text):
+    """Counter of (order, letters) of a text, letters in lower case and runs of other characters as blanks."""
+    clean = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    out = Counter(("1", c) for c in clean if c != " ")
+    out.update(("2", clean[i:i + 2]) for i in range(len(clean) - 1) if clean[i:i + 2] != "  ")
+    out.update(("3", clean[i:i + 3]) for i in range(len(clean) - 2) if clean[i:i + 2] != "  " and clean[i + 1] != " ")
+    return out
+
+
+def test_language_ngrams_in_stretches(monkeypatch):
+    texts = ["", "a", "Ab cd", "x" * 50, "1 2 3", "Été und 𝐀b" * 9, "the end"]
+    whole = langid.ngram_buckets(texts)
+    for size in (3, 7, 20):
+        monkeypatch.setattr(langid, "STRETCH", size)
+        parts = langid.ngram_buckets(texts)
+        assert Counter(zip(*whole[:2])) == Counter(zip(*parts[:2])) and (whole[2] == parts[2]).all()
+    per = Counter(whole[0].tolist())
+    assert all(per[i] == sum(plain_ngrams(t).values()) for i, t in enumerate(texts))
+    assert langid.Model(["a"], np.zeros(1), np.zeros((1, langid.BUCKETS))).predict([])[0] == []
+
+
+def test_language_counts_equal_plain_bayes(spark):
+    """Training counts, priors and smoothing against a plain count of the same n-grams."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat", "en"), ("a hat", "en"), ("der hut", "de"), ("le chat", "fr"), (None, "fr"), ("x y", None)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.languages == ["de", "en", "fr"] and np.allclose(np.exp(model.prior), [1 / 5, 2 / 5, 2 / 5])
+    for k, lang in enumerate(model.languages):
+        _, bucket, _ = langid.ngram_buckets([t or "" for _, t, x in rows if x == lang])
+        count = np.bincount(bucket, minlength=langid.BUCKETS)
+        assert count.sum() == sum(sum(plain_ngrams(t or "").values()) for _, t, x in rows if x == lang)
+        want = np.log((count + langid.SMOOTHING) / (count.sum() + langid.SMOOTHING * langid.BUCKETS))
+        assert np.abs(model.log_prob[k] - want).max() < 1e-9
+
+
+def test_language_prediction_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "the cat sat", "en", "x", 2.0, "r"), (2, None, "de", "y", 3.0, "s"), (3, "der Hut", "de", "z", 4.0, "t")],
+                                 "doc_id long, text string, lang string, lang_pred string, Score double, row string")
+    model = langid.train(docs)
+    out = langid.predict(docs, model)
+    assert out.columns == ["doc_id", "lang", "row", "lang_pred", "score"]
+    got = {r.doc_id: (r.lang_pred, r.row) for r in out.collect()}
+    assert got == {1: ("en", "r"), 2: ("und", "s"), 3: ("de", "t")}
+    assert langid.predict(docs.select("text"), model).columns == ["lang_pred", "score"]
+    assert langid.predict(docs.limit(0), model).count() == 0
+
+
 def test_toxicity(spark, edge, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
