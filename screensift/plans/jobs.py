@@ -33,7 +33,7 @@ def threshold_report(scores: DataFrame, threshold: float) -> DataFrame:
     from screensift.operators import cv
     from screensift.operators import metrics as M
 
-    m = cv.cv_metrics_from_scores(scores, threshold)
+    m = cv.cv_metrics_from_scores(scores, threshold).persist()  # a row a fold, read by every statistic
     long = m.select(F.explode(F.array(
         F.struct(F.lit("auc").alias("metric"), F.col("auc").alias("v")),
         F.struct(F.lit("recall").alias("metric"), F.col("recall").alias("v")),
