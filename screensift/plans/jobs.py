@@ -143,7 +143,7 @@ def find_model(spark: SparkSession, labelled: DataFrame, unlabelled: DataFrame,
             shap = X.shap_sampled_rff(spark, vecs, W, b, svc.coefficients.toArray(), svc.intercept)
         else:
             shap = X.shap_tree(spark, model, vecs)
-    paths = io.write_artifacts(out_dir, res.vocabulary, res.matrix, labels, best)
+    paths = io.write_artifacts(out_dir, res.vocabulary, res.matrix, labels, best, res.vectors)
     for k, df in reports.items():
         df.write.mode("errorifexists").parquet(f"{out_dir}/reports/{k}")
     shap.write.mode("errorifexists").parquet(f"{out_dir}/shap")

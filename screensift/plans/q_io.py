@@ -56,7 +56,7 @@ def q_artifacts_roundtrip(spark, sf):
     res = tf.tfidf(tb.records(spark, sf))
     out_dir = scratch_path(spark, "artifacts")
     io.write_artifacts(out_dir, res.vocabulary, res.matrix, fx.labels_of(spark, sf),
-                       best_trial(objective(spark, sf)))
+                       best_trial(objective(spark, sf)), res.vectors)
     back = io.read_artifacts(spark, out_dir)
     parts = [back[k].select(F.lit(k).alias("artifact"), F.count(F.lit(1)).alias("n_rows")) for k in back]
     out = parts[0]

@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from screensift.operators.tfidf import vector_entries
 from screensift.sources.quoted import quoted_records
 
 # fixed values: text that pandas reads as missing by default
@@ -77,10 +78,16 @@ def write_parquet(df: DataFrame, path: str, cluster_by: str | None = None) -> No
 
 
 def write_artifacts(out_dir: str, vocabulary: DataFrame, matrix: DataFrame, labels: DataFrame,
-                    best: DataFrame | None = None) -> dict[str, str]:
-    """TF-IDF (long form, clustered by doc_id), vocabulary, labels, best parameters."""
+                    best: DataFrame | None = None, vectors: DataFrame | None = None) -> dict[str, str]:
+    """TF-IDF (long form, clustered by doc_id), vocabulary, labels, best parameters.
+
+    Where the matrix comes from ``vectors``, those are sorted, a row a document, and its entries follow in order.
+    """
     paths = {k: os.path.join(out_dir, k) for k in ("tfidf", "vocabulary", "labels", "best_params")}
-    write_parquet(matrix, paths["tfidf"], "doc_id")
+    if vectors is None:
+        write_parquet(matrix, paths["tfidf"], "doc_id")
+    else:
+        write_parquet(vector_entries(vectors.sortWithinPartitions("doc_id")), paths["tfidf"])
     write_parquet(vocabulary, paths["vocabulary"], "term_idx")
     write_parquet(labels, paths["labels"], "doc_id")
     if best is not None:
