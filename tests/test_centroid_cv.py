@@ -47,3 +47,30 @@ def test_no_entry_is_copied_per_repeat(spark, tables):
     plan = qm.centroid_cv_scores(spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert "term_idx" in plan and "_valid" in plan
     assert not re.search(r"hashpartitioning\(repeat#\d+, fold#\d+, term_idx", plan)
+
+
+def test_learning_curve_of_repeated_rows(spark, tables):
+    """Scores of both sides per (fold, proportion) against sums over all pairs, label rows and vectors that repeat included."""
+    from screensift.operators import metrics as M
+    from screensift.operators import models as md
+
+    res, labels = tf.tfidf(tb.records(spark, tables)), fx.labels_of(spark, tables)
+    g = ("fold", "proportion")
+    subsets = sp.learning_subsets(labels).cache()
+    w = md.centroid_weights(res.matrix, subsets, g)
+    val = sp.stratified_folds(labels, 5, 42).join(subsets.select(*g).distinct(), "fold")
+    want = {}
+    for rows, at in ((subsets, 0), (val, 1)):
+        scores = md.linear_score(res.matrix, w, rows, groups=g).selectExpr(*g, "label", "round(score, 9) AS score")
+        for r in M.roc_auc(scores, list(g)).collect():
+            want.setdefault((r.fold, r.proportion), [None, None, 0])[at] = r.auc
+            want[r.fold, r.proportion][2] += 0 if at else r.n_pos + r.n_neg
+    got = {(r.fold, r.proportion): [r.train_auc, r.val_auc, r.train_size] for r in qm.centroid_learning_curve(spark, tables).collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-6)
+
+
+def test_no_entry_is_copied_per_proportion(spark, tables):
+    plan = qm.centroid_learning_curve(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert "term_idx" in plan and not re.search(r"hashpartitioning\(fold#\d+, proportion#\d+, term_idx", plan)
