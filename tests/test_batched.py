@@ -60,6 +60,23 @@ def test_batched_logistic_equals_single_fits(data):
         assert abs(score - (X[i] @ theta[:-1, m] + theta[-1, m])) < 1e-9
 
 
+def test_a_pass_sends_no_more_gradients_than_cores(spark, data, monkeypatch):
+    X, y, role, rows = data
+    want = B.fit_logistic_many(rows, X.shape[1], 4, l2=0.05, max_iter=300, tol=1e-12)
+    parts, start = [], B.Passes.__init__
+
+    def spy(self, *args):
+        start(self, *args)
+        parts.append(self.parts)
+
+    monkeypatch.setattr(B.Passes, "__init__", spy)
+    monkeypatch.setattr(B, "TASK_CELLS", 16)  # small tasks, each with a gradient larger than its work
+    monkeypatch.setattr(B, "PARTIAL_CELLS", 100)
+    theta = B.fit_logistic_many(rows.repartition(40), X.shape[1], 4, l2=0.05, max_iter=300, tol=1e-12)
+    assert parts == [spark.sparkContext.defaultParallelism]
+    assert np.abs(theta - want).max() < 1e-5
+
+
 def test_sum_of_losses_and_empty_rows(spark):
     rows = spark.createDataFrame([(0, 1.0, [], [], [1]), (1, 0.0, [0], [1.0], [1]), (2, 1.0, [], [], [1])], ROW)
     theta = B.fit_logistic_many(rows, 1, 1, l2=0.5, average=False, max_iter=200, tol=1e-13)
